@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalith import values
 from catalith.functions.rules import contains_any
-from catalith.functions.text import clean_text, text
+from catalith.functions.text import clean_text, let, text
 
 RIVAL_TYPE = "array<struct<name:string,rating:string,context:string>>"
 PRICE_ANSWER = "min_used_price_gbp double, max_used_price_gbp double, confidence string, notes string"
@@ -32,14 +32,13 @@ def glance_fields(glance: Column) -> dict[str, Column]:
 
 
 def _valid(col: Column) -> Column:
-    cleaned = F.nullif(clean_text(col), F.lit(""))
-    return F.when(cleaned != "&", cleaned)
+    """Cleaned text that says something."""
+    return let(clean_text(col), lambda c: F.when(~c.isin("", "&"), c))
 
 
 def _valid_on_page(col: Column) -> Column:
-    cleaned = _valid(col)
-    size = F.length(cleaned)
-    return F.when((size > values.PAGE_MIN_CHARS) & (size < values.PAGE_MAX_CHARS), cleaned)
+    bounds = (values.PAGE_MIN_CHARS + 1, values.PAGE_MAX_CHARS - 1)
+    return let(_valid(col), lambda c: F.when(F.length(c).between(*bounds), c))
 
 
 def pros_cons(
@@ -145,11 +144,14 @@ def parse_rivals(rivals: Column, dedupe: bool = True, limit: int = values.RIVAL_
         _walk(source, urls, linked)
     )
     if dedupe:
-        out = F.filter(out, lambda r: r["name"] != "")
-        names = F.transform(out, lambda r: F.lower(r["name"]))
-        out = F.filter(
-            out, lambda r, i: F.array_position(names, F.lower(r["name"])) == i + 1
-        )
+        named = F.filter(out, lambda r: r["name"] != "")
+        keyed = let(named, lambda rs: F.struct(
+            rs.alias("rivals"), F.transform(rs, lambda r: F.lower(r["name"])).alias("names")
+        ))
+        out = let(keyed, lambda s: F.filter(
+            s["rivals"],
+            lambda r, i: F.array_position(s["names"], F.lower(r["name"])) == i + 1,
+        ))
     return F.slice(out, 1, limit)
 
 

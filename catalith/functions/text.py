@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,11 @@ def text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Bind a value to a lambda variable, so that inner lambdas do not compute it again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(BLANKS))
 

@@ -56,10 +56,9 @@ def candidates(url: Column, host: str = DEFAULT_HOST) -> Column:
     tail = F.try_element_at(parts, F.lit(-2))
     model, brand = F.try_element_at(parts, F.lit(-3)), F.try_element_at(parts, F.lit(-4))
     body = found(tail, values.YEAR_TAIL)
+    folder = F.concat(F.lit("/"), brand, F.lit("/"), model, F.lit("/"))
     prefix = F.concat(
-        F.lit(f"{DEFAULT_SCHEME}://{host}/"),
-        F.regexp_replace(F.concat(brand, F.lit("/"), model), "/+", "/"),
-        F.lit("/"),
+        F.lit(f"{DEFAULT_SCHEME}://{host}"), F.regexp_replace(folder, "/+", "/")
     )
     stems = [
         (tail, "/review"), (tail, "/used-review"), (body, "/review"), (body, "/used-review"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalith.functions.text import let
+
 ZERO = 0.0
 
 
@@ -24,8 +26,10 @@ def norm(v: Column) -> Column:
 
 def normalize(v: Column) -> Column:
     """Unit length; a zero vector stays as it is."""
-    length = norm(v)
-    return F.when(length == 0, doubles(v)).otherwise(F.transform(doubles(v), lambda x: x / length))
+    def scaled(s: Column) -> Column:
+        return F.when(s["n"] == 0, s["v"]).otherwise(F.transform(s["v"], lambda x: x / s["n"]))
+
+    return let(F.struct(doubles(v).alias("v"), norm(v).alias("n")), scaled)
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -23,24 +23,25 @@ def similarity(vector: Column, unit_query: Column) -> Column:
     )
 
 
-def query_vector(df: DataFrame, cond: Column, vector: str) -> Column:
-    """Unit query vector taken from the table by a scalar subquery."""
-    return df.where(cond).select(vectors.normalize(F.col(vector)).alias("q")).scalar()
+def with_query(df: DataFrame, source: DataFrame, cond: Column, vector: str,
+               name: str = "query") -> DataFrame:
+    """Add the unit vector of the one source row as a column (a scalar subquery)."""
+    unit = vectors.normalize(F.col(vector)).alias("q")
+    return df.withColumn(name, source.where(cond).select(unit).scalar())
 
 
 def topk(df: DataFrame, score: Column, keep: Sequence[str], k: int, tie: str,
          name: str = "score") -> DataFrame:
     """The k best rows by score, ties by ``tie``; rows without a score are left out."""
-    scored = df.withColumn(name, score).where(F.col(name).isNotNull())
-    return scored.select(*keep, name).orderBy(F.desc(name), tie).limit(k)
+    scored = df.select(*keep, score.alias(name)).where(F.col(name).isNotNull())
+    return scored.orderBy(F.desc(name), tie).limit(k)
 
 
 def weighted_score(pairs: Sequence[tuple[float, Column, Column]]) -> Column:
     """Sum of weight * similarity over (weight, vector, unit query)."""
-    total = None
-    for weight, vector, query in pairs:
-        part = F.lit(weight) * similarity(vector, query)
-        total = part if total is None else total + part
+    total = F.lit(0.0)
+    for weight, vector, unit_query in pairs:
+        total = total + F.lit(weight) * similarity(vector, unit_query)
     return F.round(total, DIGITS)
 
 

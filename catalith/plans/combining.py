@@ -98,19 +98,18 @@ def apply_family_result(spark, sf):
 @query
 def rerank_join(spark, sf):
     emb = view(spark, sf, "embeddings")
-    q = search.query_vector(emb, C("vec_id") == 1, "embedding")
-    top = search.topk(emb, search.similarity(C("embedding"), q), ["vec_id", "label"], 3, "vec_id")
+    asked = search.with_query(emb, emb, C("vec_id") == 1, "embedding")
+    score = search.similarity(C("embedding"), C("query"))
+    top = search.topk(asked, score, ["vec_id", "label"], 3, "vec_id")
     return search.rerank_join(emb, top, ["label"]).select("vec_id", "label")
 
 
 @query
 def query_vector_subquery(spark, sf):
     emb = view(spark, sf, "embeddings")
-    q = search.query_vector(emb, C("vec_id") == 1, "embedding")
-    near = search.topk(
-        emb.where(C("vec_id") != 1), search.similarity(C("embedding"), q), ["vec_id", "label"],
-        10, "vec_id",
-    )
+    asked = search.with_query(emb.where(C("vec_id") != 1), emb, C("vec_id") == 1, "embedding")
+    score = search.similarity(C("embedding"), C("query"))
+    near = search.topk(asked, score, ["vec_id", "label"], 10, "vec_id")
     return near.select("vec_id", "label", F.round(1 - C("score"), 6).alias("distance"))
 
 
