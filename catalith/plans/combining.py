@@ -180,9 +180,10 @@ def vector_profile(spark, sf):
     )
     profile = quality.vector_profile(emb, ["good", "mixed"])
     # the engines print floats with different lengths
-    return profile.withColumn(
-        "max_chars", F.when(C("column") == "good", F.lit(None)).otherwise(C("max_chars"))
-    )
+    return profile.withColumns({
+        "dimension": F.coalesce(C("dimension"), F.lit(-1)),
+        "max_chars": F.when(C("column") == "good", F.lit(0)).otherwise(C("max_chars")),
+    })
 
 
 @query

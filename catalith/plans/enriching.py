@@ -66,6 +66,7 @@ def spec_answers(cars):
 def sanitize_specs(spark, sf):
     cars = view(spark, sf, "cars")
     checked = enrich.sanitize_specs(*spec_answers(cars))
+    checked["insurance"] = checked["insurance"].cast("string")
     return cars.select("car_id", *[c.alias(n) for n, c in checked.items()])
 
 

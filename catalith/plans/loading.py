@@ -103,7 +103,7 @@ def quoted_csv_sink(spark, sf):
 
 def loaded_columns(df):
     return df.select(
-        "car_id", *INTS, F.size("vector_main").alias("main_size"),
+        "car_id", *[C(c).cast("string").alias(c) for c in INTS], F.size("vector_main").alias("main_size"),
         F.round(F.get("vector_specs", F.lit(0)).cast("double"), 4).alias("specs_first"),
     )
 
@@ -130,15 +130,14 @@ def load_full_refresh(spark, sf):
     path = shared_folder(spark, "refresh")
     loading.write_full_refresh(loaded, rejected, path)
     good = spark.read.parquet(f"{path}/loaded").select(
-        "car_id", "doors", "power_bhp", F.size("rivals_json").alias("rivals"),
-        F.size("vector_specs").alias("specs_size"), F.lit(0).alias("reasons"),
+        "car_id", C("doors").cast("string"), C("power_bhp").cast("string"),
+        F.size("rivals_json").cast("string").alias("rivals"),
+        F.size("vector_specs").cast("string").alias("specs_size"), F.lit(0).alias("reasons"),
     )
     bad = spark.read.parquet(f"{path}/rejected").select(
-        "car_id", F.lit(None).cast("int").alias("doors"), F.lit(None).cast("int").alias("power_bhp"),
-        F.lit(None).cast("int").alias("rivals"), F.lit(None).cast("int").alias("specs_size"),
-        F.size("reasons").alias("reasons"),
+        "car_id", F.size("reasons").alias("reasons")
     )
-    return good.union(bad)
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query

@@ -53,7 +53,7 @@ def parse_vector(spark, sf):
     parsed = view(spark, sf, "embeddings").select("vec_id", vectors.parse(cell).alias("v"))
     total = F.aggregate(vectors.doubles(C("v")), F.lit(0.0), lambda s, x: s + x)
     return parsed.select(
-        "vec_id", F.size("v").alias("dimension"), F.round(total, 5).alias("total")
+        "vec_id", F.size("v").cast("string").alias("dimension"), F.round(total, 5).alias("total")
     )
 
 
