@@ -207,7 +207,9 @@ def answer_json(answer: Column, schema: str = PRICE_ANSWER) -> Column:
     parsed = F.from_json(body, f"{schema}, _bad string", {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad",
     })
-    return F.when(body.isNotNull() & parsed["_bad"].isNull(), parsed.dropFields("_bad"))
+    return let(
+        parsed, lambda p: F.when(p.isNotNull() & p["_bad"].isNull(), p.dropFields("_bad"))
+    )
 
 
 def boilerplate(
@@ -218,8 +220,9 @@ def boilerplate(
 ) -> Column:
     """True on any strong pattern or on enough distinct patterns."""
     t = F.lower(text(col))
-    count = sum((t.rlike(p).cast("int") for p in (*strong, *weak)), F.lit(0))
     sure = F.lit(False)
     for pattern in strong:
         sure = sure | t.rlike(pattern)
+    # a strong hit decides alone, so only the weak ones need counting
+    count = sum((t.rlike(p).cast("int") for p in weak), F.lit(0))
     return sure | (count >= hits)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalith.functions.extract import found
-from catalith.functions.text import text
+from catalith.functions.text import let, text
 
 # fixed values: the named character references that occur in plain text
 ENTITIES = {
@@ -33,8 +33,10 @@ def strip_noise(html: Column) -> Column:
 
 def article(html: Column) -> Column:
     """The inside of the first article element, else the whole page."""
-    clean = strip_noise(html)
-    return F.coalesce(found(clean, r"(?is)<article\b[^>]*>(.*?)</article>"), clean)
+    return let(
+        strip_noise(html),
+        lambda clean: F.coalesce(found(clean, r"(?is)<article\b[^>]*>(.*?)</article>"), clean),
+    )
 
 
 def decode(col: Column) -> Column:
@@ -64,20 +66,21 @@ def inline(fragment: Column) -> Column:
 
 def sections(html: Column) -> Column:
     """array<struct<heading,text>>: the whole text first, then one entry per h2."""
-    body = article(html)
-    pieces = F.split(body, r"(?i)<h2\b[^>]*>")
-    tail = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    parts = F.transform(
-        tail,
-        lambda p: F.struct(
-            inline(F.split(p, r"(?i)</h2>", 2)[0]).alias("heading"),
-            lines(F.coalesce(F.get(F.split(p, r"(?i)</h2>", 2), F.lit(1)), F.lit("")), "\n")
-            .alias("text"),
-        ),
-    )
-    parts = F.filter(parts, lambda s: (s["heading"] != "") & (s["text"] != ""))
-    head = F.array(F.struct(F.lit("full_text").alias("heading"), lines(body, "\n").alias("text")))
-    return F.concat(head, parts)
+    def section(halves: Column) -> Column:
+        rest = F.coalesce(F.get(halves, F.lit(1)), F.lit(""))
+        return F.struct(
+            inline(F.get(halves, F.lit(0))).alias("heading"), lines(rest, "\n").alias("text")
+        )
+
+    def read(body: Column) -> Column:
+        pieces = F.split(body, r"(?i)<h2\b[^>]*>")
+        parts = F.transform(pieces, lambda p, i: F.when(
+            i > 0, let(F.split(p, r"(?i)</h2>", 2), section)))
+        parts = F.filter(parts, lambda s: (s["heading"] != "") & (s["text"] != ""))
+        head = F.struct(F.lit("full_text").alias("heading"), lines(body, "\n").alias("text"))
+        return F.concat(F.array(head), parts)
+
+    return let(article(html), read)
 
 
 def title(html: Column) -> Column:
@@ -88,8 +91,9 @@ def title(html: Column) -> Column:
 
 def markdown(html: Column) -> Column:
     """What follows the first h1: headings '##' and '###', list items '- '."""
-    body = article(html)
-    after = F.coalesce(found(body, r"(?is)</h1>(.*)$"), body)
+    after = let(
+        article(html), lambda body: F.coalesce(found(body, r"(?is)</h1>(.*)$"), body)
+    )
     marked = F.regexp_replace(after, r"(?i)<h2\b[^>]*>", "<p>## ")
     marked = F.regexp_replace(marked, r"(?i)<h3\b[^>]*>", "<p>### ")
     return lines(marked, "\n\n")
@@ -132,16 +136,21 @@ def rule_value(clean: Column, rule: FieldRule) -> Column:
         value = F.regexp_replace(lines(inside, " | "), r"(^|\| )- ", "$1")
     else:
         value = inline(F.regexp_extract(clean, pattern, 1))
-    return F.when((F.length(value) >= rule.min_chars) & (value != "&"), value)
+    return let(
+        value, lambda v: F.when((F.length(v) >= rule.min_chars) & (v != "&"), v)
+    )
 
 
 def fields(html: Column, rules: Sequence[FieldRule] = DEFAULT_FIELDS) -> Column:
     """array<struct<field,value>>: per field the first rule that yields text."""
-    clean = strip_noise(html)
     names = list(dict.fromkeys(r.field for r in rules))
-    out = []
-    for name in names:
-        own = sorted((r for r in rules if r.field == name), key=lambda r: r.order)
-        value = F.coalesce(*[rule_value(clean, r) for r in own])
-        out.append(F.struct(F.lit(name).alias("field"), value.alias("value")))
-    return F.filter(F.array(*out), lambda s: s["value"].isNotNull())
+
+    def read(clean: Column) -> Column:
+        out = []
+        for name in names:
+            own = sorted((r for r in rules if r.field == name), key=lambda r: r.order)
+            value = F.coalesce(*[rule_value(clean, r) for r in own])
+            out.append(F.struct(F.lit(name).alias("field"), value.alias("value")))
+        return F.filter(F.array(*out), lambda s: s["value"].isNotNull())
+
+    return let(strip_noise(html), read)

@@ -170,18 +170,24 @@ def min_numeric(names: Sequence[str], patterns: Sequence[str]) -> Column:
 
 def clean_text(col: Column, tails: Sequence[str] = values.TAIL_PATTERNS) -> Column:
     """Collapse white space, then cut everything from a tail mark to the end."""
-    out = collapse_ws(col)
-    for pattern in tails:
-        out = F.regexp_replace(out, f"(?s){pattern}.*$", "")
-    return strip(out)
+    flat = collapse_ws(col)
+    return strip(F.regexp_replace(flat, f"(?s)(?:{'|'.join(tails)}).*$", "")) if tails else flat
 
 
 def word_limit(col: Column, limit: int) -> Column:
-    """The first ``limit`` words; shorter texts stay as they are."""
-    words = F.split(collapse_ws(col), " ")
-    return F.when(F.size(words) > limit, F.array_join(F.slice(words, 1, limit), " ")).otherwise(
-        text(col)
-    )
+    """The first ``limit`` words; shorter texts stay as they are.
+
+    The pattern only matches when there are more words, and reads no further.
+    """
+    longer = rf"(?U)^\s*+(\S++(?:\s++\S++){{{limit - 1}}})\s++\S"
+
+    def cut(whole_text: Column) -> Column:
+        return let(
+            F.regexp_extract(whole_text, longer, 1),
+            lambda head: F.when(head != "", collapse_ws(head)).otherwise(whole_text),
+        )
+
+    return let(text(col), cut)
 
 
 def pair(label: str, value: Column, sep: str = ": ") -> Column:

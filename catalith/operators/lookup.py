@@ -4,7 +4,7 @@ Every pick is a min_by/max_by with an explicit order column, so partial results
 combine before the shuffle and a hot key costs one row per task.  The joins
 carry no broadcast hint: the lookup side is an aggregate whose size is only
 known at run time, where adaptive execution broadcasts it when it measures
-small and otherwise splits hot keys of the shuffled join.
+small and otherwise splits hot keys of the shuffled join (see ``join_lookup``).
 """
 
 from __future__ import annotations
@@ -57,9 +57,22 @@ def best_texts(
     )
 
 
-def join_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join with a lookup that has one row per key."""
-    return rows.join(lookup, list(keys), "left")
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Left join with a lookup that has one row per key; a hot key is split.
+
+    A lookup that was just grouped by the key would be joined where it lies,
+    and adaptive execution cannot split the hot keys of such a join.  A second
+    join key, computed from the first, sends both sides through an exchange of
+    their own, which it can.  Only the lookup, one row per key, moves once more.
+    """
+    keys = list(keys)
+    mark = F.hash(*keys)
+    joined = rows.withColumn("_mark", mark).join(
+        lookup.withColumn("_mark", mark), [*keys, "_mark"], how
+    )
+    return joined.drop("_mark")
 
 
 def best_text_join(
@@ -125,7 +138,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def unprocessed(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``done``; rows without a key stay."""
-    return rows.join(done.select(key).distinct(), key, "left_anti")
+    return join_lookup(rows, done.select(key).distinct(), [key], "left_anti")
 
 
 def worklist(

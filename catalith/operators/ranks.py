@@ -29,13 +29,15 @@ def order_statistics(
     """keys, n and one column per wanted rank (1-based, a function of n).
 
     ``distinct`` ranks each value once; otherwise equal values count apart.
-    NULL values are ignored; a group with none does not appear.
+    NULL and NaN are ignored; a group with nothing else does not appear.
     """
     keys = list(keys)
     counted = (
-        rows.where(F.col(value).isNotNull())
+        rows.where(F.col(value).isNotNull() & ~F.isnan(value))
         .select(*keys, F.col(value).alias("_v"))
         .withColumn("_bucket", bucket(F.col("_v")))
+        # said here, so that both uses below are the same plan and computed once
+        .where(F.col("_bucket").isNotNull())
         .groupBy(*keys, "_bucket", "_v")
         .agg(F.count(F.lit(1)).alias("_w"))
     )
@@ -57,8 +59,10 @@ def order_statistics(
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
     )
+    # both sides meet by (group, bucket), which the window below needs anyway; a
+    # broadcast could pick the large side, and the hash table is the small one
     placed = (
-        counted.join(wanted, [*keys, "_bucket"])
+        counted.join(wanted.hint("shuffle_hash"), [*keys, "_bucket"])
         .withColumn("_to", F.col("_start") + F.sum("_w").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_w"))
     )

@@ -49,8 +49,9 @@ def enrich_families(spark, sf):
 def sanitize_prices(spark, sf):
     own = F.when(C("event_id") % 4 == 0, F.concat(
         (1 + C("event_id") % 20).cast("string"), F.lit(",250")))
-    checked = enrich.sanitize_prices(extract.answer_json(C("answer")), own, own)
-    return view(spark, sf, "answers").select("event_id", *[c.alias(n) for n, c in checked.items()])
+    rows = view(spark, sf, "answers").withColumn("parsed", extract.answer_json(C("answer")))
+    checked = enrich.sanitize_prices(C("parsed"), own, own)
+    return rows.select("event_id", *[c.alias(n) for n, c in checked.items()])
 
 
 def spec_answers(cars):

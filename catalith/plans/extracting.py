@@ -98,8 +98,9 @@ def html_prices(spark, sf):
 
 @query
 def answer_json(spark, sf):
-    parsed = extract.answer_json(C("answer"))
-    return view(spark, sf, "answers").select(
+    parsed = C("parsed")
+    rows = view(spark, sf, "answers").withColumn("parsed", extract.answer_json(C("answer")))
+    return rows.select(
         "event_id",
         parsed.isNotNull().alias("parsed"),
         parsed["min_used_price_gbp"].alias("low"),

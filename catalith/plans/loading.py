@@ -95,7 +95,7 @@ def quoted_csv_sink(spark, sf):
     path = shared_folder(spark, "quoted")
     rows = view(spark, sf, "rivals").withColumn("note", F.lit('say "hi",\nthen go'))
     tables.write_quoted_csv(rows, path)
-    return tables.scan_text_csv(spark, path, rows.columns).select(
+    return tables.scan_text_csv(spark, path, rows.columns, multiline=True).select(
         C("car_id").cast("bigint").alias("car_id"), text.text(C("rivals_text")).alias("rivals_text"),
         "note",
     )

@@ -64,28 +64,28 @@ def full_refresh(
 
     Where a database load would abort, the rejects carry the reasons.
     """
-    ints = {c: strict_int(F.col(c)) for c in int_cols}
     given = {c: F.nullif(text(F.col(c)), F.lit("")) for c in (*int_cols, json_col, *vector_cols)}
-    parsed_json = F.from_json(given[json_col], json_schema)
-    parsed = {c.removesuffix("_text"): vectors.parse(given[c]) for c in vector_cols}
+    typed = {c: given[c].try_cast("int") for c in int_cols}
+    typed[json_col] = F.from_json(given[json_col], json_schema)
+    typed.update({c: vectors.parse(given[c]) for c in vector_cols})
+    complaints = {json_col: "not JSON"} | {c: "not a vector" for c in vector_cols}
+    # typed once, then judged and used
+    staged = df.withColumns({f"_typed_{c}": col for c, col in typed.items()})
     reasons = [
-        F.when(given[c].isNotNull() & ints[c].isNull(), F.lit(f"{c}: not a number"))
-        for c in int_cols
+        F.when(
+            given[c].isNotNull() & F.col(f"_typed_{c}").isNull(),
+            F.lit(f"{c}: {complaints.get(c, 'not a number')}"),
+        )
+        for c in typed
     ]
-    reasons.append(
-        F.when(given[json_col].isNotNull() & parsed_json.isNull(), F.lit(f"{json_col}: not JSON"))
-    )
-    reasons += [
-        F.when(given[c].isNotNull() & parsed[c.removesuffix("_text")].isNull(),
-               F.lit(f"{c}: not a vector"))
-        for c in vector_cols
-    ]
-    checked = df.withColumn("reasons", F.array_compact(F.array(*reasons)))
-    loaded = (
-        checked.where(F.size("reasons") == 0).drop("reasons")
-        .withColumns({**ints, **parsed}).withColumn(json_col, parsed_json)
-    )
-    return loaded, checked.where(F.size("reasons") > 0)
+    checked = staged.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    final = {
+        (c.removesuffix("_text") if c in vector_cols else c): F.col(f"_typed_{c}") for c in typed
+    }
+    helpers = [f"_typed_{c}" for c in typed]
+    loaded = checked.where(F.size("reasons") == 0).withColumns(final).drop("reasons", *helpers)
+    rejected = checked.where(F.size("reasons") > 0).drop(*helpers)
+    return loaded, rejected
 
 
 def write_full_refresh(loaded: DataFrame, rejected: DataFrame, path: str) -> None:

@@ -27,10 +27,15 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[cell(f) for f in df.schema.fields])
 
 
-def scan_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, all columns text, no inference; columns are checked by name."""
+def scan_text_csv(spark: SparkSession, path: str, columns: Sequence[str],
+                  multiline: bool = False) -> DataFrame:
+    """CSV with a header, all columns text, no inference; columns are checked by name.
+
+    ``multiline`` allows line breaks inside quotes; such files cannot be split
+    between tasks, so it is off unless asked for.
+    """
     reader = spark.read.option("header", True).option("enforceSchema", False)
-    quoted = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
+    quoted = reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
     return quoted.schema(text_schema(columns)).csv(path)
 
 
