@@ -154,3 +154,8 @@ def fields(html: Column, rules: Sequence[FieldRule] = DEFAULT_FIELDS) -> Column:
         return F.filter(F.array(*out), lambda s: s["value"].isNotNull())
 
     return let(strip_noise(html), read)
+
+
+def field_map(html: Column, rules: Sequence[FieldRule] = DEFAULT_FIELDS) -> Column:
+    """The same as a map, for pages that go on as rows of columns."""
+    return F.map_from_entries(fields(html, rules))

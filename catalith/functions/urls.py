@@ -45,6 +45,14 @@ def to_specs(url: Column) -> Column:
     return F.when(raw.rlike("/review/?$"), swapped).otherwise(raw)
 
 
+def specs_fallback(url: Column) -> Column:
+    """The specs page to fall back on when a review page of any form fails."""
+    raw = text(url)
+    for ending in ("/review", "/used-review"):
+        raw = F.replace(raw, F.lit(ending), F.lit("/specs"))
+    return raw
+
+
 def candidates(url: Column, host: str = DEFAULT_HOST) -> Column:
     """Ordered review addresses to try for a specs page, each with and without '/'.
 

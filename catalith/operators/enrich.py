@@ -60,8 +60,9 @@ def enrich_families(
 ) -> DataFrame:
     """Call ``fn`` once per family not in the cache, keep the answers, join them back.
 
-    Answers are written to the cache table before use, so a lost executor or a
-    second run repeats no finished call.  ``force`` starts the cache anew.
+    Answers are written to the cache table before use: what follows never calls
+    again when an executor is lost, and a second run asks only for new families.
+    ``force`` starts the cache anew.
     """
     columns = [f.strip().split(" ")[0] for f in schema.split(",")]
     todo = worklist(df, key, order, inputs, read_cache(df, cache, schema), missing, force)

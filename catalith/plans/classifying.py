@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from catalith import values
 from catalith.functions import compose, extract, text, vehicle
-from catalith.operators import enrich, lookup, quality
+from catalith.operators import enrich, quality
+from catalith.plans import jobs
 from catalith.plans.normalise import num
 from catalith.plans.registry import query
 from catalith.plans.views import view
@@ -172,15 +173,8 @@ def bodytype_keyword(spark, sf):
 @query
 def essence_family(spark, sf):
     """Text once per family from its first values, brought back to every row."""
-    cars = view(spark, sf, "cars").withColumn(
-        "family", text.family_key(C("make"), C("model"), C("series_years"))
-    )
-    columns = ["make", "model", "series_years", "body_type", "length_mm"]
-    firsts = lookup.first_values(cars, ["family"], columns, "car_id")
-    size = vehicle.size_bucket(C("body_type"), num("length_mm"))
-    texts = firsts.select("family", vehicle.family_essence(
-        F.btrim("make"), C("model"), C("series_years"), size).alias("essence"))
-    return lookup.apply_results(cars.select("car_id", "family"), texts, "family", ["essence"])
+    out = jobs.family_texts(view(spark, sf, "cars"), "car_id")
+    return out.select("car_id", "family", "essence")
 
 
 @query

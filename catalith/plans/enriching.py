@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from catalith.functions import extract
 from catalith.operators import enrich
-from catalith.plans.combining import with_family
+from catalith.plans import jobs
+from catalith.plans.combining import with_family, with_price_key
+from catalith.plans.normalise import specs_inputs
 from catalith.plans.registry import query
 from catalith.plans.views import view
 from catalith.session import shared_folder
@@ -105,3 +107,34 @@ def resume_incremental(spark, sf):
             lambda df: df.where(C("event_type") != "error"), pattern="events.parquet",
         )
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
+
+
+@query
+def pages_to_catalogue(spark, sf):
+    """Review pages to the best article and pros per language, on every document."""
+    rows = view(spark, sf, "documents").select("doc_id", "lang")
+    language = F.regexp_extract("url", "^[^/]*//[^/]*/([a-z]+)/", 1)
+    out = jobs.catalogue_from_pages(
+        view(spark, sf, "review_pages"), language, rows, C("lang"), "page_id"
+    )
+    return out.select("doc_id", F.md5("article").alias("article_md5"), "pros", "cons")
+
+
+@query
+def price_gaps(spark, sf):
+    """Cars with their family's listing range where the family lacks a price."""
+    cars = with_price_key(view(spark, sf, "cars"))
+    listings = view(spark, sf, "lineitem").select(
+        C("l_partkey").alias("car_id"), C("l_extendedprice").alias("price")
+    ).join(cars.select("car_id", "fid"), "car_id").select("fid", "price")
+    out = jobs.price_gaps(cars, "fid", "car_id", listings, "price_low")
+    return out.select("car_id", "price_low_filled", "price_high_filled", "confidence", "notes")
+
+
+@query
+def embed_and_search(spark, sf):
+    """Specs texts embedded, the twenty cars most like car 1."""
+    near = jobs.embed_and_search(
+        view(spark, sf, "cars"), "car_id", specs_inputs(), vowel_counts, 6, query_id=1, k=20
+    )
+    return near.select("car_id", F.round("score", 6).alias("score"))

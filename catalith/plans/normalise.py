@@ -138,6 +138,7 @@ def url_class(spark, sf):
         urls.is_specs(C("url")).alias("is_specs"),
         urls.is_review(C("url")).alias("is_review"),
         urls.to_specs(F.lower("url")).alias("specs_url"),
+        urls.specs_fallback(C("url")).alias("fallback_url"),
     )
 
 

@@ -1,7 +1,19 @@
 """Oracles for gap filling, answer checks, embedding and incremental runs."""
 
 from oracles.classifying import missing
+from oracles.combining import PRICE_KEY
 from oracles.common import norm, number, views
+from oracles.extracting import PAGES, to_lines
+from oracles.normalising import SQL as NORMALISING
+
+SPECS_STRING = NORMALISING["specs_string"]
+PROS = "regexp_extract(h, '(?s)<ul class=\"pros\">(.*?)</ul>', 1)"
+CONS = "regexp_extract(h, '(?s)<ul class=\"cons\">(.*?)</ul>', 1)"
+
+
+def best(column: str) -> str:
+    """Longest text, the first page on ties (no page has boilerplate)."""
+    return f"(array_agg({column} ORDER BY len({column}) DESC, e.page_id))[1]"
 
 FAMILY = f"concat({norm('make')}, '|', {norm('model')}, '|', {norm('series_years')})"
 
@@ -69,4 +81,43 @@ SELECT doc_id, {', '.join(
 FROM n""",
     "resume_incremental": """
 SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'""",
+    "pages_to_catalogue": PAGES + f"""
+, e AS (
+  SELECT p.page_id, regexp_extract(p.url, '//[^/]*/([a-z]+)/', 1) AS k,
+    array_to_string({to_lines("replace(a, '<li>', '<p>')")}, ' ') AS article,
+    regexp_replace(array_to_string({to_lines(PROS)}, ' | '), '(^|[|] )- ', '\\1', 'g') AS pros,
+    regexp_replace(array_to_string({to_lines(CONS)}, ' | '), '(^|[|] )- ', '\\1', 'g') AS cons
+  FROM c3 JOIN art ON c3.page_id = art.page_id JOIN pages p ON p.page_id = art.page_id),
+b AS (
+  SELECT k, {best('article')} AS article, {best('pros')} AS pros, {best('cons')} AS cons
+  FROM e GROUP BY k)
+SELECT doc_id, md5(article) AS article_md5, pros, cons FROM documents LEFT JOIN b ON lang = k""",
+    "price_gaps": views("cars") + f"""
+, k AS (SELECT *, {PRICE_KEY} AS fid FROM cars),
+w AS (SELECT DISTINCT fid FROM k WHERE trim(price_low) = ''),
+l AS (
+  SELECT fid, list_sort(list(DISTINCT l_extendedprice)) AS p
+  FROM lineitem JOIN k ON l_partkey = car_id
+  WHERE fid IN (SELECT fid FROM w) AND l_extendedprice >= 100 GROUP BY fid),
+r AS (
+  SELECT fid, CASE WHEN len(p) >= 20 THEN p[len(p) // 10 + 1] ELSE p[1] END AS lo,
+    CASE WHEN len(p) >= 20 THEN p[(9 * len(p) + 9) // 10] ELSE p[-1] END AS hi, len(p) AS n
+  FROM l)
+SELECT car_id, coalesce(lo, {number('price_low')}) AS price_low_filled, hi AS price_high_filled,
+  CASE WHEN n IS NULL THEN 'low' ELSE 'medium' END AS confidence,
+  CASE WHEN n IS NULL THEN 'no-parse' ELSE 'sample n=' || n END AS notes
+FROM k LEFT JOIN r ON k.fid = r.fid""",
+    "embed_and_search": f"""
+WITH t AS (
+  SELECT car_id, CASE WHEN specs = '' THEN 'placeholder' ELSE specs END AS t
+  FROM ({SPECS_STRING})),
+c AS (SELECT car_id, [{', '.join(count_of(v) for v in 'aeiou')}, 1]::double[] AS v FROM t),
+u AS (
+  SELECT car_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v)))::float[] AS v
+  FROM c),
+s AS (
+  SELECT car_id, round(list_cosine_similarity(v::double[],
+    (SELECT v FROM u WHERE car_id = 1)::double[]), 9) AS score
+  FROM u WHERE car_id <> 1)
+SELECT car_id, round(score, 6) AS score FROM s ORDER BY s.score DESC, car_id LIMIT 20""",
 }

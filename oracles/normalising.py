@@ -93,12 +93,14 @@ SELECT page_id, concat(scheme, '://', host, CASE WHEN p = '' OR p LIKE '/%' THEN
 FROM tidy""",
     "url_class": views("site_urls") + r"""
 , tidy AS (
-  SELECT car_id, lower(url) AS u, rtrim(regexp_replace(lower(url), '[?#].*$', ''), '/') AS p
+  SELECT car_id, url, lower(url) AS u,
+    rtrim(regexp_replace(lower(url), '[?#].*$', ''), '/') AS p
   FROM site_urls)
 SELECT car_id, p LIKE '%/specs' AS is_specs,
   p LIKE '%/review' OR p LIKE '%/used-review' OR p LIKE '%/owners-reviews' AS is_review,
   CASE WHEN u LIKE '%/review/' OR u LIKE '%/review'
-    THEN replace(replace(u, '/review/', '/specs/'), '/review', '/specs') ELSE u END AS specs_url
+    THEN replace(replace(u, '/review/', '/specs/'), '/review', '/specs') ELSE u END AS specs_url,
+  replace(replace(url, '/review', '/specs'), '/used-review', '/specs') AS fallback_url
 FROM tidy""",
     "url_candidates": views("site_urls") + r"""
 , bare AS (
