@@ -47,7 +47,7 @@ def decode(col: Column) -> Column:
 
 def lines(fragment: Column, glue: str) -> Column:
     """Markup to text: one line per block, list items marked '- ', blanks dropped."""
-    flat = F.regexp_replace(fragment, r"[ \t\r\n\f]+", " ")
+    flat = F.regexp_replace(fragment, r"[\t\r\n\f]+", " ")
     flat = F.regexp_replace(flat, LIST_ITEM, "\n- ")
     flat = F.regexp_replace(flat, BLOCK_END, "\n")
     flat = decode(F.regexp_replace(flat, r"<[^>]*>", ""))

@@ -69,7 +69,8 @@ def enrich_families(
     answers = call_in_batches(todo, fn, schema, **batching)
     answers.write.mode("overwrite" if force else "append").parquet(cache)
     results = read_cache(df, cache, schema)
-    return apply_results(df, results, key, [c for c in columns if c != key])
+    # the cache is a written table already
+    return apply_results(df, results, key, [c for c in columns if c != key], settled=False)
 
 
 def embed_batches(

@@ -2,9 +2,8 @@
 
 Every pick is a min_by/max_by with an explicit order column, so partial results
 combine before the shuffle and a hot key costs one row per task.  The joins
-carry no broadcast hint: the lookup side is an aggregate whose size is only
-known at run time, where adaptive execution broadcasts it when it measures
-small and otherwise splits hot keys of the shuffled join (see ``join_lookup``).
+carry no broadcast hint: ``join_lookup`` lets the optimizer decide by the
+measured size of the lookup.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions.extract import boilerplate
 from catalith.functions.text import norm, norm_years, strip, text
+from catalith.session import settle
 
 
 def is_filled(col: Column) -> Column:
@@ -58,16 +58,24 @@ def best_texts(
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left"
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
+    settled: bool = True,
 ) -> DataFrame:
-    """Left join with a lookup that has one row per key; a hot key is split.
+    """Join rows with a lookup that has one row per key.
 
-    A lookup that was just grouped by the key would be joined where it lies,
-    and adaptive execution cannot split the hot keys of such a join.  A second
-    join key, computed from the first, sends both sides through an exchange of
-    their own, which it can.  Only the lookup, one row per key, moves once more.
+    The lookup is written out first.  Its size is then known before the join is
+    planned: below ``spark.sql.autoBroadcastJoinThreshold`` the rows are not
+    shuffled at all; above it both sides are, and adaptive execution splits the
+    hot keys.
+
+    With ``settled=False`` nothing is written.  A lookup just grouped by the key
+    would then be joined where it lies, and the hot keys of such a join cannot
+    be split; a second join key, computed from the first, sends both sides
+    through an exchange of their own.
     """
     keys = list(keys)
+    if settled:
+        return rows.join(settle(lookup, "lookup"), keys, how)
     mark = F.hash(*keys)
     joined = rows.withColumn("_mark", mark).join(
         lookup.withColumn("_mark", mark), [*keys, "_mark"], how
@@ -138,7 +146,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def unprocessed(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``done``; rows without a key stay."""
-    return join_lookup(rows, done.select(key).distinct(), [key], "left_anti")
+    return join_lookup(rows, done.select(key).distinct(), [key], "left_anti", settled=False)
 
 
 def worklist(
@@ -159,11 +167,11 @@ def worklist(
 
 
 def apply_results(
-    rows: DataFrame, results: DataFrame, key: str, columns: Sequence[str]
+    rows: DataFrame, results: DataFrame, key: str, columns: Sequence[str], settled: bool = True
 ) -> DataFrame:
     """Family results back on every row; a row keeps its own value where there is none."""
     side = results.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = join_lookup(rows, side, [key])
+    joined = join_lookup(rows, side, [key], settled=settled)
     for c in columns:
         new = F.col(f"_new_{c}")
         joined = joined.withColumn(c, F.coalesce(new, F.col(c)) if c in rows.columns else new)

@@ -34,8 +34,9 @@ def catalogue_from_pages(
 ) -> DataFrame:
     """Fields of review pages, cleaned, the best per series brought to catalogue rows."""
     names = ["article", "pros", "cons", "rivals"]
+    needed = [r for r in rules if r.field in names]
     read = pages.select(
-        order, series.alias("_series"), html.field_map(C("html"), rules).alias("_fields")
+        order, series.alias("_series"), html.field_map(C("html"), needed).alias("_fields")
     )
     flat = read.select(
         order, "_series",
@@ -56,7 +57,7 @@ def price_gaps(
     blank = text.nonempty(C(own_low)).isNull()
     nothing = cars.select(key).where(F.lit(False))
     wanted = lookup.worklist(cars, key, order, [order], nothing, missing=blank).select(key)
-    relevant = listings.join(wanted, key, "left_semi")
+    relevant = lookup.join_lookup(listings, wanted, [key], "left_semi")
     ranges = aggregate.robust_range(relevant, key, C("price"))
     joined = lookup.join_lookup(cars, ranges, [key])
     own = text.number(C(own_low), thousands=True)

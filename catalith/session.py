@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What a job needs from the session; everything else is left to the cluster.
 SETTINGS = {
@@ -40,3 +40,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="catalith-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a written table in the shared folder.
+
+    This cuts the lineage, so a lost executor recomputes nothing before it, and
+    gives the optimizer the table's true size in place of a guess.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

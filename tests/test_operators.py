@@ -107,6 +107,15 @@ def test_hot_key_join_is_split(spark):
                 spark.conf.set(name, value)
 
 
+def test_small_lookup_leaves_rows_unshuffled(spark):
+    rows = spark.range(5000).select((C("id") % 7).alias("k"), C("id").alias("i"))
+    results = rows.groupBy("k").agg(F.max("i").alias("best"))
+    joined = lookup.apply_results(rows, results, "k", ["best"])
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_family_rivals(spark):
     rows = [(2, "f", "Fiat: 3/5 | Mini: 4/5"), (1, "f", "MINI: 5/5"), (3, "f", None)]
     rows += [(10 + i, "f", f"Car number {i}: 1/5") for i in range(40)]
