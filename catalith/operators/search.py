@@ -7,27 +7,71 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith import values
-from catalith.functions import vectors
 
 DIGITS = 9  # similarities are compared after rounding, so ties fall to the id
 
 
-def similarity(vector: Column, unit_query: Column) -> Column:
-    """Cosine with a query that is already of unit length."""
-    return F.round(
-        vectors.dot(vector, unit_query) / F.nullif(vectors.norm(vector), F.lit(0.0)), DIGITS
-    )
+def _matrix_of(v: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of the wanted size as a matrix, and which rows they are."""
+    fits = pc.fill_null(pc.equal(pc.list_value_length(v), size), False)
+    flat = v.filter(fits).flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(-1, size).astype(np.float64), fits.to_numpy(zero_copy_only=False)
+
+
+def _scores(rows: np.ndarray, dots: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Rounded cosines placed on their rows, the others NULL."""
+    out = np.full(len(rows), np.nan)
+    out[rows] = np.round(np.divide(dots, length, out=np.full(len(dots), np.nan), where=length > 0),
+                         DIGITS)
+    return pa.array(out, from_pandas=True)
+
+
+def similarity(vector: Column, query: Sequence[float] | Column) -> Column:
+    """Cosine with one query vector, or with a query column.
+
+    NULL for zero vectors and vectors of another size.  One matrix product per
+    Arrow batch; Spark's array functions box every element and take four times
+    as long on 512 dimensions.
+    """
+    if isinstance(query, Column):
+        @F.arrow_udf("double")
+        def pairwise(v: pa.Array, q: pa.Array) -> pa.Array:
+            sizes = pc.list_value_length(q)
+            size = pc.max(sizes).as_py() or 0
+            m, rows = _matrix_of(v, size)
+            other, asked = _matrix_of(q, size)
+            m, other = m[asked[rows]], other[rows[asked]]
+            length = np.linalg.norm(m, axis=1) * np.linalg.norm(other, axis=1)
+            return _scores(rows & asked, np.einsum("ij,ij->i", m, other), length)
+
+        return pairwise(vector, query)
+
+    unit = np.asarray(query, dtype=np.float64)
+    unit = unit / (np.linalg.norm(unit) or 1.0)
+
+    @F.arrow_udf("double")
+    def against(v: pa.Array) -> pa.Array:
+        m, rows = _matrix_of(v, len(unit))
+        return _scores(rows, m @ unit, np.linalg.norm(m, axis=1))
+
+    return against(vector)
+
+
+def query_vector(df: DataFrame, cond: Column, vector: str) -> list[float]:
+    """The vector of the one row that meets the condition."""
+    return df.where(cond).select(vector).first()[0]
 
 
 def with_query(df: DataFrame, source: DataFrame, cond: Column, vector: str,
                name: str = "query") -> DataFrame:
-    """Add the unit vector of the one source row as a column (a scalar subquery)."""
-    unit = vectors.normalize(F.col(vector)).alias("q")
-    return df.withColumn(name, source.where(cond).select(unit).scalar())
+    """Add the vector of the one source row as a column (a scalar subquery)."""
+    return df.withColumn(name, source.where(cond).select(vector).scalar())
 
 
 def topk(df: DataFrame, score: Column, keep: Sequence[str], k: int, tie: str,
@@ -37,11 +81,11 @@ def topk(df: DataFrame, score: Column, keep: Sequence[str], k: int, tie: str,
     return scored.orderBy(F.desc(name), tie).limit(k)
 
 
-def weighted_score(pairs: Sequence[tuple[float, Column, Column]]) -> Column:
-    """Sum of weight * similarity over (weight, vector, unit query)."""
+def weighted_score(pairs: Sequence[tuple[float, Column, Sequence[float]]]) -> Column:
+    """Sum of weight * similarity over (weight, vector, query)."""
     total = F.lit(0.0)
-    for weight, vector, unit_query in pairs:
-        total = total + F.lit(weight) * similarity(vector, unit_query)
+    for weight, vector, query in pairs:
+        total = total + F.lit(weight) * similarity(vector, query)
     return F.round(total, DIGITS)
 
 

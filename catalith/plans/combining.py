@@ -98,9 +98,9 @@ def apply_family_result(spark, sf):
 @query
 def rerank_join(spark, sf):
     emb = view(spark, sf, "embeddings")
-    asked = search.with_query(emb, emb, C("vec_id") == 1, "embedding")
-    score = search.similarity(C("embedding"), C("query"))
-    top = search.topk(asked, score, ["vec_id", "label"], 3, "vec_id")
+    q = search.query_vector(emb, C("vec_id") == 1, "embedding")
+    score = search.similarity(C("embedding"), q)
+    top = search.topk(emb, score, ["vec_id", "label"], 3, "vec_id")
     return search.rerank_join(emb, top, ["label"]).select("vec_id", "label")
 
 

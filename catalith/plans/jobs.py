@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions import compose, html, text, vehicle
 from catalith.operators import aggregate, enrich, lookup, quality, search
+from catalith.session import settle
 
 C = F.col
 
@@ -73,9 +74,14 @@ def embed_and_search(
     cars: DataFrame, id_col: str, specs: dict[str, Column],
     embed: Callable[[list[str]], np.ndarray], dimension: int, query_id: int, k: int,
 ) -> DataFrame:
-    """Specs text per row, embedded, then the rows nearest to one of them."""
+    """Specs text per row, embedded, then the rows nearest to one of them.
+
+    The vectors are written once, so that no text is embedded a second time.
+    """
     texts = cars.select(id_col, compose.specs_string(specs).alias("specs"))
-    embedded = enrich.embed_batches(texts, id_col, "specs", embed, dimension)
-    asked = search.with_query(embedded, embedded, C(id_col) == query_id, "vector")
-    others = asked.where(C(id_col) != query_id)
-    return search.topk(others, search.similarity(C("vector"), C("query")), [id_col], k, id_col)
+    embedded = settle(
+        enrich.embed_batches(texts, id_col, "specs", embed, dimension), "vectors"
+    )
+    query = search.query_vector(embedded, C(id_col) == query_id, "vector")
+    others = embedded.where(C(id_col) != query_id)
+    return search.topk(others, search.similarity(C("vector"), query), [id_col], k, id_col)

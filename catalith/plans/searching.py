@@ -14,18 +14,16 @@ C = F.col
 
 
 def two_vectors(spark, sf):
-    """Rows with a main vector, a second one (the main vector reversed) and two queries."""
-    rows = view(spark, sf, "embeddings").select(
+    """Rows with a main vector and a second one (the main vector reversed)."""
+    return view(spark, sf, "embeddings").select(
         "vec_id", "label", C("embedding").alias("main"), F.reverse("embedding").alias("rivals")
     )
-    asked = search.with_query(rows, rows, C("vec_id") == 1, "main", "q_main")
-    return search.with_query(asked, rows, C("vec_id") == 2, "rivals", "q_rivals")
 
 
-def main_score():
+def main_score(rows):
     return search.weighted_score([
-        (values.MAIN_WEIGHT, C("main"), C("q_main")),
-        (values.RIVALS_WEIGHT, C("rivals"), C("q_rivals")),
+        (values.MAIN_WEIGHT, C("main"), search.query_vector(rows, C("vec_id") == 1, "main")),
+        (values.RIVALS_WEIGHT, C("rivals"), search.query_vector(rows, C("vec_id") == 2, "rivals")),
     ])
 
 
@@ -60,23 +58,27 @@ def parse_vector(spark, sf):
 @query
 def cosine_topk(spark, sf):
     emb = view(spark, sf, "embeddings")
-    asked = search.with_query(emb, emb, C("vec_id") == 0, "embedding")
-    score = search.similarity(C("embedding"), C("query"))
-    near = search.topk(asked, score, ["vec_id", "label"], 10, "vec_id")
+    q = search.query_vector(emb, C("vec_id") == 0, "embedding")
+    near = search.topk(
+        emb, search.similarity(C("embedding"), q), ["vec_id", "label"], 10, "vec_id"
+    )
     return near.select("vec_id", "label", F.round(1 - C("score"), 6).alias("distance"))
 
 
 @query
 def weighted_topk(spark, sf):
-    best = search.topk(two_vectors(spark, sf), main_score(), ["vec_id", "label"], 200, "vec_id")
+    rows = two_vectors(spark, sf)
+    best = search.topk(rows, main_score(rows), ["vec_id", "label"], 200, "vec_id")
     return best.select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
 @query
 def two_stage_search(spark, sf):
+    rows = two_vectors(spark, sf)
+    q = search.query_vector(rows, C("vec_id") == 1, "main")
     best = search.two_stage(
-        two_vectors(spark, sf), main_score(), search.similarity(C("rivals"), C("q_main")),
-        ["label"], "vec_id", ["vec_id", "label"], where=C("label") != 5,
+        rows, main_score(rows), search.similarity(C("rivals"), q), ["label"], "vec_id",
+        ["vec_id", "label"], where=C("label") != 5,
     )
     return best.select("vec_id", "label", F.round("score", 6).alias("score"))
 

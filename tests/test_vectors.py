@@ -82,6 +82,18 @@ def test_exact_topk(table):
     assert got == neighbours(ids, sims, 7)[3]
 
 
+@pytest.mark.parametrize("as_column", [False, True])
+def test_odd_vectors_have_no_similarity(spark, as_column):
+    rows = spark.createDataFrame(
+        [(1, [3.0, 4.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [4.0, 3.0]), (6, [])],
+        "i bigint, v array<float>")
+    if as_column:
+        rows = search.with_query(rows, rows, C("i") == 1, "v")
+    query = C("query") if as_column else [6.0, 8.0]
+    got = rows.select("i", search.similarity(C("v"), query).alias("s")).collect()
+    assert {r["i"]: r["s"] for r in got} == {1: 1.0, 2: None, 3: None, 4: None, 5: 0.96, 6: None}
+
+
 def test_rerank_modes(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "i bigint, f string")
     top = rows.where("f = 'a'")
