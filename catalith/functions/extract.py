@@ -45,10 +45,17 @@ def pros_cons(
     combined: Column, pros: Column, cons: Column, page: Column,
 ) -> tuple[Column, Column]:
     """Combined section, then the separate sections, then synonyms on the page."""
-    def cascade(section: str, own: Column, page_patterns: Sequence[str]) -> Column:
-        steps = [_valid(found(text(combined), section)), _valid(own)]
-        steps += [_valid_on_page(found(text(page), p)) for p in page_patterns]
-        return F.coalesce(*steps)
+    def cascade(section: str, own: Column, synonyms: Sequence[tuple[str, str]]) -> Column:
+        def on_page(p: Column) -> Column:
+            return F.coalesce(*[
+                F.when(p["lower"].contains(word), _valid_on_page(found(p["page"], pattern)))
+                for word, pattern in synonyms
+            ])
+
+        whole_page = F.struct(text(page).alias("page"), F.lower(text(page)).alias("lower"))
+        return F.coalesce(
+            _valid(found(text(combined), section)), _valid(own), let(whole_page, on_page)
+        )
 
     return (
         cascade(values.SECTION_PROS, pros, values.PAGE_PROS),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from catalith import values
 from catalith.functions.text import number, or_placeholder, strip, text
 from catalith.operators.lookup import apply_results, worklist
+from catalith.session import settle
 
 
 def retrying(fn: Callable, attempts: int, wait_s: float) -> Callable:
@@ -56,18 +57,23 @@ def read_cache(df: DataFrame, path: str, schema: str) -> DataFrame:
 def enrich_families(
     df: DataFrame, key: str, order: str, inputs: Sequence[str],
     fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, cache: str,
-    missing: Column | None = None, force: bool = False, **batching,
+    missing: Column | None = None, force: bool = False, waves: int = 1, **batching,
 ) -> DataFrame:
     """Call ``fn`` once per family not in the cache, keep the answers, join them back.
 
     Answers are written to the cache table before use: what follows never calls
     again when an executor is lost, and a second run asks only for new families.
-    ``force`` starts the cache anew.
+    ``force`` starts the cache anew.  With more ``waves`` the answers are saved
+    in that many steps, so that a failed run loses one step at most.
     """
     columns = [f.strip().split(" ")[0] for f in schema.split(",")]
-    todo = worklist(df, key, order, inputs, read_cache(df, cache, schema), missing, force)
-    answers = call_in_batches(todo, fn, schema, **batching)
-    answers.write.mode("overwrite" if force else "append").parquet(cache)
+    todo = settle(
+        worklist(df, key, order, inputs, read_cache(df, cache, schema), missing, force), "worklist"
+    )
+    for wave in range(waves):
+        part = todo if waves == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(waves)) == wave)
+        answers = call_in_batches(part, fn, schema, **batching)
+        answers.write.mode("overwrite" if force and wave == 0 else "append").parquet(cache)
     results = read_cache(df, cache, schema)
     # the cache is a written table already
     return apply_results(df, results, key, [c for c in columns if c != key], settled=False)

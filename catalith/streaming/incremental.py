@@ -20,15 +20,19 @@ def _written(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     return done.where(F.col("batch_id") < batch_id)
 
 
-def append_batch(rows: DataFrame, batch_id: int, path: str, key: str) -> None:
-    """Append rows whose key no earlier batch wrote.
+def append_batch(
+    rows: DataFrame, batch_id: int, path: str, key: str,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> None:
+    """Transform and append the rows whose key no earlier batch wrote.
 
-    A batch owns the folder ``batch_id=N`` and overwrites it, so a repeated
-    batch leaves the same output; earlier batches are left alone.
+    Seen rows are dropped before the transform, which may be costly.  A batch
+    owns the folder ``batch_id=N`` and overwrites it, so a repeated batch leaves
+    the same output; earlier batches are left alone.
     """
     done = _written(rows.sparkSession, path, batch_id)
     fresh = rows if done is None else unprocessed(rows, done, key)
-    fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    transform(fresh).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def resume(
@@ -41,9 +45,12 @@ def resume(
         spark.readStream.schema(schema).option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
+
+    def each(rows: DataFrame, batch_id: int) -> None:
+        append_batch(rows, batch_id, output, key, transform)
+
     query = (
-        transform(stream).writeStream
-        .foreachBatch(lambda rows, batch_id: append_batch(rows, batch_id, output, key))
+        stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

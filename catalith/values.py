@@ -389,19 +389,20 @@ GLANCE = {
 }
 SECTION_PROS = r"(?is)PROS\s*(.*?)(?:CONS|$)"
 SECTION_CONS = r"(?is)CONS\s*(.*?)(?:PROS|$)"
+# (what the text must hold for the pattern to have a chance, pattern)
 PAGE_PROS = (
-    r"(?is)pros?[:\s]+(.*?)(?:cons?|verdict|overview|$)",
-    r"(?is)advantages?[:\s]+(.*?)(?:disadvantages?|verdict|overview|$)",
-    r"(?is)good points?[:\s]+(.*?)(?:bad points?|verdict|overview|$)",
-    r"(?is)strengths?[:\s]+(.*?)(?:weaknesses?|verdict|overview|$)",
-    r"(?is)benefits?[:\s]+(.*?)(?:drawbacks|verdict|overview|$)",
+    ("pro", r"(?is)pros?[:\s]+(.*?)(?:cons?|verdict|overview|$)"),
+    ("advantage", r"(?is)advantages?[:\s]+(.*?)(?:disadvantages?|verdict|overview|$)"),
+    ("good point", r"(?is)good points?[:\s]+(.*?)(?:bad points?|verdict|overview|$)"),
+    ("strength", r"(?is)strengths?[:\s]+(.*?)(?:weaknesses?|verdict|overview|$)"),
+    ("benefit", r"(?is)benefits?[:\s]+(.*?)(?:drawbacks|verdict|overview|$)"),
 )
 PAGE_CONS = (
-    r"(?is)cons?[:\s]+(.*?)(?:pros?|verdict|overview|$)",
-    r"(?is)disadvantages?[:\s]+(.*?)(?:advantages?|verdict|overview|$)",
-    r"(?is)bad points?[:\s]+(.*?)(?:good points?|verdict|overview|$)",
-    r"(?is)weaknesses?[:\s]+(.*?)(?:strengths?|verdict|overview|$)",
-    r"(?is)drawbacks?[:\s]+(.*?)(?:benefits|verdict|overview|$)",
+    ("con", r"(?is)cons?[:\s]+(.*?)(?:pros?|verdict|overview|$)"),
+    ("disadvantage", r"(?is)disadvantages?[:\s]+(.*?)(?:advantages?|verdict|overview|$)"),
+    ("bad point", r"(?is)bad points?[:\s]+(.*?)(?:good points?|verdict|overview|$)"),
+    ("weakness", r"(?is)weaknesses?[:\s]+(.*?)(?:strengths?|verdict|overview|$)"),
+    ("drawback", r"(?is)drawbacks?[:\s]+(.*?)(?:benefits|verdict|overview|$)"),
 )
 PAGE_MIN_CHARS = 5
 PAGE_MAX_CHARS = 1000

@@ -83,8 +83,9 @@ def test_enrichment_calls_each_family_once(spark, tmp_path):
     assert second.count() == 40 and second.where(C("out").isNull()).count() == 0
     calls = open(log).read().split()
     assert sorted(calls) == ["f0", "f1", "f2", "f3", "f4"]
-    enrich.enrich_families(df, *args, force=True)
+    enrich.enrich_families(df, *args, force=True, waves=3)
     assert len(open(log).read().split()) == 10
+    assert spark.read.parquet(cache).count() == 5
 
 
 def test_retries_then_raises():
@@ -145,3 +146,21 @@ def test_resume_is_idempotent_and_skips_seen_keys(spark, tmp_path):
     again = spark.createDataFrame([(k, "b") for k in range(5, 15)], "k bigint, batch string")
     incremental.append_batch(again, 1, out, "k")
     assert spark.read.parquet(out).count() == 15
+
+
+def test_resume_transforms_only_new_rows(spark, tmp_path):
+    log, out = tmp_path / "seen", str(tmp_path / "out")
+    rows = spark.createDataFrame([(k, f"t{k}") for k in range(6)], "k bigint, t string")
+
+    def embed(texts):
+        with open(log, "a") as f:
+            f.write("".join(f"{t}\n" for t in texts))
+        return np.ones((len(texts), 2))
+
+    def transform(df):
+        return enrich.embed_batches(df, "k", "t", embed, 2)
+
+    incremental.append_batch(rows.where("k < 4"), 0, out, "k", transform)
+    incremental.append_batch(rows, 1, out, "k", transform)
+    assert sorted(open(log).read().split()) == [f"t{k}" for k in range(6)]
+    assert spark.read.parquet(out).count() == 6
