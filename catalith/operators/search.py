@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 from math import ceil
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith import values
+from catalith.operators.lookup import join_lookup
+from catalith.session import settle
 
 DIGITS = 9  # similarities are compared after rounding, so ties fall to the id
 
@@ -134,7 +137,10 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def assign_lists(df: DataFrame, id_col: str, vector: str, center: np.ndarray, probes: int,
                  id_type: str = "bigint") -> DataFrame:
-    """(id, vector, list): every vector with its nearest ``probes`` lists."""
+    """(id, vector, copy, list, probe): every vector with its nearest ``probes`` lists.
+
+    ``copy`` is a digest that equal vectors share, ``probe`` counts from 0.
+    """
     probes = min(probes, len(center))
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,20 +148,27 @@ def assign_lists(df: DataFrame, id_col: str, vector: str, center: np.ndarray, pr
             if len(pdf) == 0:
                 continue
             near = np.argsort(-(_matrix(pdf["vector"]) @ center.T), axis=1, kind="stable")
-            near = near[:, :probes]
             rows = np.repeat(np.arange(len(pdf)), probes)
+            raw = pdf["vector"].to_numpy()
+            copies = np.array([blake2b(np.asarray(v).tobytes(), digest_size=16).hexdigest()
+                               for v in raw], dtype=object)
             yield pd.DataFrame({
-                "id": pdf["id"].to_numpy()[rows],
-                "vector": pdf["vector"].to_numpy()[rows],
-                "list": near.ravel(),
+                "id": pdf["id"].to_numpy()[rows], "vector": raw[rows], "copy": copies[rows],
+                "list": near[:, :probes].ravel(), "probe": np.tile(np.arange(probes), len(pdf)),
             })
 
     narrow = df.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
     return narrow.where(F.size("vector") > 0).mapInPandas(
-        nearest, f"id {id_type}, vector array<float>, list int"
+        nearest, f"id {id_type}, vector array<float>, copy string, list int, probe int"
     )
 
 
+def _first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], count: int) -> DataFrame:
+    """The first ``count`` rows per key; each task thins its own rows before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") <= count).drop("_place")
+
+
 def _slices(assigned: DataFrame, per_slice: int) -> dict[int, int]:
     """How many slices each list needs; one small row per list."""
     sizes = assigned.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -173,16 +186,26 @@ def approx_topk(
 ) -> DataFrame:
     """(query_id, id, similarity): about the k nearest rows of every query.
 
-    Rows go to their nearest list, queries to their nearest ``probes`` lists.
-    A list that grew beyond ``slice_rows`` rows or ``slice_queries`` queries is
-    cut into a grid of blocks, every block is one bounded matrix product, and
-    each block hands on only its k best per query.  With ``probes`` equal to
-    ``lists`` the answer is exact.
+    Rows go to their nearest list, queries to their nearest ``probes`` lists; the
+    number of lists should grow with the table, so that one holds some
+    ``slice_rows`` rows.  With ``probes`` equal to ``lists`` the answer is exact.
+
+    Copies do no harm.  Of equal rows only the k + 1 first ids can appear in an
+    answer, so no more go on, and equal queries are asked once.  A list that is
+    still larger than ``slice_rows`` rows or ``slice_queries`` queries is cut
+    into a grid of blocks, every block is one bounded matrix product, and each
+    block hands on only its best per query.
     """
+    wanted = k + 1 if exclude_self else k
     center = centers(df, id_col, vector, lists)
     lists = len(center)
-    rows = assign_lists(df, id_col, vector, center, 1, id_type)
-    asked = assign_lists(queries, id_col, vector, center, probes, id_type)
+    rows = _first_per(
+        assign_lists(df, id_col, vector, center, 1, id_type), ["copy"], [F.col("id")], wanted
+    )
+    members = assign_lists(queries, id_col, vector, center, probes, id_type)
+    asked = _first_per(members, ["copy", "list"], [F.col("id")], 1)
+    # written once: their sizes shape the blocks, and their vectors fill them
+    rows, asked = settle(rows, "list-rows"), settle(asked, "list-queries")
     row_slices, query_slices = _slices(rows, slice_rows), _slices(asked, slice_queries)
 
     def grid(side: DataFrame, own: dict[int, int], other: dict[int, int], names) -> DataFrame:
@@ -198,31 +221,31 @@ def approx_topk(
     block = ["list", "row_slice", "query_slice"]
 
     def best(rows_pdf: pd.DataFrame, asked_pdf: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "id", "similarity"]
         if rows_pdf.empty or asked_pdf.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return pd.DataFrame()
         rows_pdf = rows_pdf.sort_values("id", kind="stable")
-        sims = _matrix(asked_pdf["vector"]) @ _matrix(rows_pdf["vector"]).T
-        sims = np.round(sims, DIGITS)
-        ids, asked_ids = rows_pdf["id"].to_numpy(), asked_pdf["id"].to_numpy()
-        if exclude_self:
-            sims[asked_ids[:, None] == ids[None, :]] = -np.inf
-        order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({
-            "query_id": np.repeat(asked_ids, order.shape[1]),
-            "id": ids[order].ravel(),
+        sims = np.round(_matrix(asked_pdf["vector"]) @ _matrix(rows_pdf["vector"]).T, DIGITS)
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :wanted]
+        return pd.DataFrame({
+            "copy": np.repeat(asked_pdf["copy"].to_numpy(), order.shape[1]),
+            "id": rows_pdf["id"].to_numpy()[order].ravel(),
             "similarity": np.take_along_axis(sims, order, axis=1).ravel(),
         })
-        return out[np.isfinite(out["similarity"])]
 
     partial = (
         left.groupBy(*block).cogroup(right.groupBy(*block))
-        .applyInPandas(best, f"query_id {id_type}, id {id_type}, similarity double")
+        .applyInPandas(best, f"copy string, id {id_type}, similarity double")
     )
-    place = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    return (
-        partial.withColumn("_rank", F.row_number().over(place))
-        .where(F.col("_rank") <= k).drop("_rank")
+    kept = _first_per(partial, ["copy"], [F.desc("similarity"), F.col("id")], wanted)
+    answers = kept.groupBy("copy").agg(F.array_sort(F.collect_list(
+        F.struct((-F.col("similarity")).alias("away"), "id", "similarity"))).alias("best"))
+    whom = members.where(F.col("probe") == 0).select(F.col("id").alias("query_id"), "copy")
+    found = join_lookup(whom, answers, ["copy"], "inner", settled=False)
+    own = F.col("best")
+    if exclude_self:
+        own = F.filter(own, lambda x: x["id"] != F.col("query_id"))
+    return found.select("query_id", F.explode(F.slice(own, 1, k)).alias("_hit")).select(
+        "query_id", "_hit.id", "_hit.similarity"
     )
 
 

@@ -74,6 +74,23 @@ def test_identical_vectors_fill_one_list(spark):
     assert len(got) == 300 and all(found == [0, 1, 2, 3, 4] for found in got.values())
 
 
+@pytest.mark.parametrize("exclude", [False, True])
+def test_copies_among_others_stay_exact(spark, table, exclude):
+    """A third of the rows are copies of one vector; still the brute-force answer."""
+    rows, ids, _ = table
+    hot = rows.where("vec_id = 7").select("embedding").first()[0]
+    mixed = rows.withColumn("embedding", F.when(
+        C("vec_id") % 3 == 0, F.array(*[F.lit(x) for x in hot])).otherwise(
+        C("embedding")).cast("array<float>"))
+    unit = np.array([r["embedding"] for r in mixed.orderBy("vec_id").collect()], dtype=np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    sims = np.round(unit @ unit.T, search.DIGITS)
+    if exclude:
+        np.fill_diagonal(sims, -9)
+    got = approx(mixed, lists=6, probes=6, slice_rows=50, slice_queries=30, exclude_self=exclude)
+    assert got == neighbours(ids, sims, 5)
+
+
 def test_exact_topk(table):
     rows, ids, sims = table
     asked = search.with_query(rows, rows, C("vec_id") == 3, "embedding")
