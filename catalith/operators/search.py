@@ -137,9 +137,9 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def assign_lists(df: DataFrame, id_col: str, vector: str, center: np.ndarray, probes: int,
                  id_type: str = "bigint") -> DataFrame:
-    """(id, vector, copy, list, probe): every vector with its nearest ``probes`` lists.
+    """(id, vector, copy, list): every vector with its nearest ``probes`` lists.
 
-    ``copy`` is a digest that equal vectors share, ``probe`` counts from 0.
+    ``copy`` is a digest that equal vectors share.
     """
     probes = min(probes, len(center))
 
@@ -154,12 +154,12 @@ def assign_lists(df: DataFrame, id_col: str, vector: str, center: np.ndarray, pr
                                for v in raw], dtype=object)
             yield pd.DataFrame({
                 "id": pdf["id"].to_numpy()[rows], "vector": raw[rows], "copy": copies[rows],
-                "list": near[:, :probes].ravel(), "probe": np.tile(np.arange(probes), len(pdf)),
+                "list": near[:, :probes].ravel(),
             })
 
     narrow = df.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
     return narrow.where(F.size("vector") > 0).mapInPandas(
-        nearest, f"id {id_type}, vector array<float>, copy string, list int, probe int"
+        nearest, f"id {id_type}, vector array<float>, copy string, list int"
     )
 
 
@@ -202,8 +202,10 @@ def approx_topk(
     rows = _first_per(
         assign_lists(df, id_col, vector, center, 1, id_type), ["copy"], [F.col("id")], wanted
     )
-    members = assign_lists(queries, id_col, vector, center, probes, id_type)
-    asked = _first_per(members, ["copy", "list"], [F.col("id")], 1)
+    asked = _first_per(
+        assign_lists(queries, id_col, vector, center, probes, id_type), ["copy", "list"],
+        [F.col("id")], 1,
+    )
     # written once: their sizes shape the blocks, and their vectors fill them
     rows, asked = settle(rows, "list-rows"), settle(asked, "list-queries")
     row_slices, query_slices = _slices(rows, slice_rows), _slices(asked, slice_queries)
@@ -239,7 +241,9 @@ def approx_topk(
     kept = _first_per(partial, ["copy"], [F.desc("similarity"), F.col("id")], wanted)
     answers = kept.groupBy("copy").agg(F.array_sort(F.collect_list(
         F.struct((-F.col("similarity")).alias("away"), "id", "similarity"))).alias("best"))
-    whom = members.where(F.col("probe") == 0).select(F.col("id").alias("query_id"), "copy")
+    whom = assign_lists(queries, id_col, vector, center, 1, id_type).select(
+        F.col("id").alias("query_id"), "copy"
+    )
     found = join_lookup(whom, answers, ["copy"], "inner", settled=False)
     own = F.col("best")
     if exclude_self:

@@ -87,9 +87,10 @@ def two_stage_search(spark, sf):
 def approx_topk(spark, sf):
     """About the five nearest neighbours of every vector."""
     emb = view(spark, sf, "embeddings")
-    return search.approx_topk(
+    found = search.approx_topk(
         emb, emb, id_col="vec_id", vector="embedding", k=5, lists=32, probes=8, exclude_self=True
     )
+    return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query

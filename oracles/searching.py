@@ -52,4 +52,19 @@ ORDER BY second DESC, vec_id LIMIT 50""",
 SELECT car_id, make, series_years FROM cars
 WHERE series_years IS NULL OR NOT regexp_matches(series_years, '19[89][0-9]')
 ORDER BY md5('draw:' || car_id), car_id LIMIT 50""",
+    "approx_topk": """
+WITH u AS (SELECT vec_id, embedding::double[] AS v FROM embeddings),
+c AS (
+  SELECT row_number() OVER (ORDER BY md5('lists:' || vec_id), vec_id) AS l, v AS center FROM u
+  ORDER BY 1 LIMIT 32),
+a AS (
+  SELECT vec_id, v, l, row_number() OVER (
+    PARTITION BY vec_id ORDER BY list_cosine_similarity(v, center) DESC, l) AS p
+  FROM u, c),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS id, round(list_cosine_similarity(q.v, r.v), 9) AS s
+  FROM a q JOIN a r ON q.l = r.l AND q.p <= 8 AND r.p = 1 AND q.vec_id <> r.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS place FROM pairs)
+SELECT query_id, id, round(s, 6) AS similarity FROM ranked WHERE place <= 5""",
 }
