@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,16 +30,24 @@ def get_session(app: str = "catalith", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+# Folders of local sessions that name none, by application; see ``shared_folder``.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under ``spark.checkpoint.dir``.
 
-    The cluster names that folder and every executor can reach it.  Only when
-    the session names none (single-machine tests) is a local one used.
+    The cluster names that folder and every executor can reach it.  A session that
+    names none gets a local one only if it runs in this one process
+    (``local[...]``, as in tests); anywhere else that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="catalith-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        root = _LOCAL.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="catalith-")
+        _LOCAL[context.applicationId] = root
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
