@@ -1,10 +1,15 @@
 """The registered queries of this folder and their SQL."""
 
-from catalith.llm import counting, packing, quality
+from catalith.llm import counting, lines, mixing, packing, quality
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op5_mixing": mixing.op5_mixing,
     "op6_token_counts": counting.op6_token_counts,
+    "op7_line_dedup": lines.op7_line_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mixing": mixing.SQL,
+    "op7_line_dedup": lines.SQL,
+}
