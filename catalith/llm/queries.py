@@ -1,10 +1,13 @@
 """The registered queries of this folder and their SQL."""
 
-from catalith.llm import counting, licences, lines, mixing, packing, quality, sharding, topk, urls
+from catalith.llm import (
+    counting, licences, lines, mixing, neardup, packing, quality, sharding, topk, urls,
+)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_exact_topk": topk.op2_exact_topk,
+    "op3_near_dedup": neardup.op3_near_dedup,
     "op4_licence_scan": licences.op4_licence_scan,
     "op5_mixing": mixing.op5_mixing,
     "op6_token_counts": counting.op6_token_counts,
