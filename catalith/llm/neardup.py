@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalith.llm.common import digest, documents, free_name
@@ -152,6 +152,67 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, thr
         .mapInArrow(_verifier(width, threshold), "a binary, b binary"), "near-links")
 
 
+def _mixed_buckets(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, node, root, largest) of the large buckets whose members are in several classes."""
+    known = settle(large.select("cell", "node").join(roots, "node", "left").select(
+        "cell", "node", F.coalesce("root", "node").alias("root")), "large-buckets")
+    several = known.groupBy("cell", "root").count().groupBy("cell").agg(
+        F.count("*").alias("classes"), F.max(F.struct("count", "root"))["root"].alias("largest")).where("classes > 1")
+    return known.join(several.select("cell", "largest"), "cell")
+
+
+def _shingle_lists(width: int):
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingles(t, width)).view(np.int64) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["node", "root", "shingles"])
+
+    return lists
+
+
+def _overlap_pairs(open_nodes: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """All pairs of open nodes of different classes that can reach ``threshold``: an exact prefix join.
+
+    Each text's shingles stand in order of how many open texts have them, the rarest first.  Two
+    texts that reach t share one among the first s - ceil(t s) + 1 shingles of the longer and the first
+    s - ceil(2 t s / (1 + t)) + 1 of the shorter.  Shingles of one text lead to no pair and fill these
+    prefixes first, so texts that only have a passage in common do not meet.  In a shingle's list, the
+    members outside its largest class meet the members of other classes.
+    """
+    t = threshold
+    ids = open_nodes.join(nodes.select("node", "id"), "node")
+    lists = settle(
+        texts.join(ids, ["node", "id"]).dropDuplicates(["node"]).select("node", "root", "text")
+        .mapInArrow(_shingle_lists(width), "node binary, root binary, shingles array<bigint>"), "shingle-lists")
+    flat = lists.select("node", F.explode("shingles").alias("shingle"))
+    often = flat.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    held = settle(flat.join(often, "shingle"), "shared-shingles")
+    place = Window.partitionBy("node").orderBy("texts", "shingle")
+    shared = held.groupBy("node").agg(F.count("*").alias("shared"))
+    sizes = lists.select("node", "root", F.size("shingles").alias("size")).join(shared, "node")
+    rare = F.col("size") - F.col("shared")
+    ranked = held.withColumn("rank", F.row_number().over(place)).join(sizes, "node").withColumn("rank", F.col("rank") + rare)
+    exact = 1e-9  # so that a rounding error lengthens a prefix and never shortens it
+    prefix = settle(
+        ranked.where(F.col("rank") <= F.col("size") - F.ceil(t * F.col("size") - exact) + 1)
+        .withColumn("shorter", F.col("rank") <= F.col("size") - F.ceil(2 * t / (1 + t) * F.col("size") - exact) + 1)
+        .select("shingle", "node", "root", "size", "shorter"), "prefixes")
+    lead = (
+        prefix.groupBy("shingle", "root").count().groupBy("shingle")
+        .agg(F.count("*").alias("classes"), F.max(F.struct("count", "root"))["root"].alias("largest"))
+        .where("classes > 1").drop("classes"))
+    listed = settle(prefix.join(lead, "shingle"), "mixed-lists")
+    other = listed.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "size", "shorter")])
+    fits = (
+        (F.col("root") != F.col("root_b"))
+        & (F.least("size", "size_b") >= t * F.greatest("size", "size_b") - exact)
+        & F.when(F.col("size") < F.col("size_b"), F.col("shorter")).when(
+            F.col("size") > F.col("size_b"), F.col("shorter_b")).otherwise(F.col("shorter") & F.col("shorter_b")))
+    meets = listed.where("root <> largest").join(other, "shingle").where(fits)
+    return meets.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+
+
 def near_classes(
     docs: DataFrame, threshold: float = 0.8, width: int = 5, small: int = 12, id_col: str = "doc_id",
     text_col: str = "text",
@@ -164,9 +225,10 @@ def near_classes(
     0.8 with a chance of 1 - 3e-6.
 
     Pairs of a bucket: all, where it has at most ``small`` members; else each member with three members
-    chosen by hash, which links a true group.  Buckets that afterwards still hold several classes
-    are parted by each second band too, and there every member outside the bucket's largest class is compared with
-    all members of other classes: so nothing is capped, and a bucket of one class costs no pairs.  Pairs are
+    chosen by hash, which links a true group.  In buckets that then still hold several classes, every member
+    outside the largest class is compared with four members of it.  Texts of buckets that even then hold
+    several classes go through an exact prefix join over their shingles (``_overlap_pairs``).  So nothing is
+    capped, a bucket of one class costs no pairs, and neither do texts that only share a passage.  Pairs are
     thinned by their registers (six standard errors below the threshold) before texts are fetched.
 
     Missing texts are empty.  Texts of fewer than ``width`` words are one shingle; texts without words
@@ -194,22 +256,22 @@ def near_classes(
     links = _links(pairs.unionByName(hubs), nodes, texts, width, threshold)
     roots = components(links)
 
-    # buckets that still hold several classes
-    root = F.coalesce("root", "node")
-    known = settle(large.select("cell", "node").join(roots, "node", "left").select("cell", "node", root.alias("root")), "large-buckets")
-    mixed = known.groupBy("cell", "root").count().groupBy("cell").agg(
-        F.count("*").alias("classes"), F.max(F.struct("count", "root"))["root"].alias("largest")).where("classes > 1")
-    parts = settle(
-        known.join(mixed.select("cell", "largest"), "cell").join(nodes.select("node", "bands"), "node")
-        .select("cell", "node", "root", "largest", F.explode("bands").alias("second")).where("cell <> second")
-        .select(F.xxhash64("cell", "second").alias("part"), "node", "root", "largest"), "mixed-buckets")
-    outside = parts.where("root <> largest").select("part", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    rest = outside.join(parts.select("part", F.col("node").alias("b"), "root"), "part").where("root_a <> root").select("a", "b")
+    # buckets that still hold several classes: first their outsiders with members of the largest class
+    mixed = _mixed_buckets(large, roots)
+    inner = mixed.where("root = largest").groupBy("cell").agg(*[hub(k).alias(f"hub{k}") for k in range(3, 7)])
+    again = mixed.where("root <> largest").join(inner, "cell").select(
+        F.col("node").alias("a"), F.explode(F.array("hub3", "hub4", "hub5", "hub6")).alias("b"))
+    links = links.unionByName(_links(again, nodes, texts, width, threshold))
+    roots = components(links)
+    # then whatever is left, exactly
+    open_nodes = settle(_mixed_buckets(large, roots).select("node", "root").distinct(), "open-nodes")
+    rest = _overlap_pairs(open_nodes, nodes, texts, width, threshold)
     more = _links(rest, nodes, texts, width, threshold)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
-    classed = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", root.alias("root"))
+    classed = nodes.select("node", "id").join(roots, "node", "left").select(
+        "node", "id", F.coalesce("root", "node").alias("root"))
     first = classed.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first"))
     chosen = settle(classed.join(first, "root").select(
         "node", F.col("first.id").alias("class_id"), F.col("first.node").alias("class_node")), "near-classes")
