@@ -13,22 +13,30 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 
-# White space that every pre-tokenizer of this kind drops; rarer white space is left to the library.
+# Python parts words at all white space that pre-tokenizers of this kind drop, and at these besides.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 BLANKS = re.compile(r"[ \t\n\r]+")
-MARKS = ".,;:!?"
+MARKS = '.,;:!?*%&#$()"-'
+
+
+def words_of(text: str | None) -> list[str]:
+    """Parts of a text between white space, which no id crosses."""
+    if not text:
+        return []
+    return BLANKS.split(text) if any(c in text for c in SEPARATORS) else text.split()
 
 
 class WordIds:
     """Ids of texts for a word-bounded BPE vocabulary, as little-endian unsigned 32-bit bytes.
 
     Words between blanks are encoded apart, because pre-tokens and the vocabulary's special strings
-    hold no white space.  New words are encoded together: the ids of a purely alphabetic word end
-    with the one id that closes a word, which shows where to part them.  Any word for which that
-    does not hold goes to the library alone.  ``keep`` bounds the words remembered; beyond it the
-    memory starts anew, which changes nothing but time.
+    hold no white space.  New words are encoded together: the last id of a pre-token is one that
+    closes a word, which shows where to part them; a word of letters is one pre-token, and so is a
+    run of marks behind it.  Other words go to the library one by one.  ``keep`` bounds the words
+    remembered; beyond it the memory starts anew, which changes nothing but time.
     """
 
-    def __init__(self, name: str, keep: int = 1_200_000):
+    def __init__(self, name: str, keep: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
@@ -37,56 +45,40 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.keep, self.known, self.stems = keep, {"": b""}, {}
+        self.keep, self.known = keep, {"": b""}
 
     def _alone(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of alphabetic words, encoded as one text and parted after each closing id."""
+    def _together(self, words: list[str], parts: list[int]) -> list[bytes]:
+        """Ids of words of known numbers of pre-tokens, encoded as one text and parted behind the last of each."""
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words) or (len(ids) and ends[-1] != len(ids)):
+        last = np.cumsum(parts)
+        if len(ends) != last[-1] or ends[-1] != len(ids):
             return self._alone(words)
-        data, starts = ids.tobytes(), np.concatenate([[0], ends[:-1]])
-        return [data[4 * a: 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.keep:
-            self.known, self.stems = {"": b""}, {}
-        parts, rest = {}, []
-        for word in words:
-            stem = word.rstrip(MARKS)
-            if stem.isalpha():
-                parts[word] = (stem.lower() if stem.isascii() else stem, word[len(stem):])
-            else:
-                rest.append(word)
-        fresh = list({p for pair in parts.values() for p in pair} - self.stems.keys())
-        plain = [p for p in fresh if p.isalpha()]
+        data, ends = ids.tobytes(), (4 * ends[last - 1]).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, words: list[str]) -> None:
+        stems = [w.rstrip(MARKS) for w in words]
+        plain = [(w, 1 + (len(s) < len(w))) for w, s in zip(words, stems) if s.isalpha()]
         for at in range(0, len(plain), 4000):
-            block = plain[at: at + 4000]
-            self.stems.update(zip(block, self._together(block)))
-        marks = [p for p in fresh if not p.isalpha()]
-        self.stems.update(zip(marks, self._alone(marks)))
-        stems = self.stems
-        self.known.update((w, stems[a] + stems[b]) for w, (a, b) in parts.items())
+            block, parts = zip(*plain[at: at + 4000])
+            self.known.update(zip(block, self._together(block, parts)))
+        rest = [w for w, s in zip(words, stems) if not s.isalpha()]
         self.known.update(zip(rest, self._alone(rest)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string of ids per text; a missing text has none."""
-        words = [BLANKS.split(t) if t else [] for t in texts]
-        fresh: set[str] = set()
-        for w in words:
-            fresh.update(w)
-        known = self.known
-        if fresh := {w for w in fresh if w not in known}:
-            self._learn(fresh)
-            if self.known is not known:  # started anew: learn what this batch needs besides
-                known = self.known
-                self._learn({w for ws in words for w in ws if w not in known})
-                known = self.known
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        words = [words_of(t) for t in texts]
+        needed = set().union(*words)
+        fresh = needed.difference(self.known)
+        if len(self.known) + len(fresh) > self.keep:
+            self.known, fresh = {"": b""}, needed
+        self._learn(list(fresh))
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
 
 @lru_cache(maxsize=4)
