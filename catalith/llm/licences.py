@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.functions.text import let
 from catalith.llm.common import digest, documents
-from catalith.llm.lines import LOWER, UPPER
 
 # Wordings that licences ask for, as published.
 TEMPLATES = {
@@ -55,36 +55,65 @@ PARAGRAPH = r"\n[ \t\r]*\n"
 
 
 def normalised(text: Column) -> Column:
-    """ASCII letters in lower case, runs of anything but letters and digits as one blank."""
-    return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), SEPARATORS, " "))
+    """Lower case, runs of anything but letters and digits as one blank."""
+    return F.trim(F.regexp_replace(F.lower(text), SEPARATORS, " "))
 
 
 def bigrams(text: Column) -> Column:
     """Distinct pairs of neighbouring words of a normalised text."""
-    words = F.split(text, " ")
-    return F.array_distinct(F.zip_with(
+    return let(F.split(text, " "), lambda words: F.array_distinct(F.zip_with(
         F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)),
-        lambda a, b: F.concat_ws(" ", a, b)))
+        lambda a, b: F.concat_ws(" ", a, b))))
 
 
 def built_in_templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES.items()), "template string, text string")
 
 
-def anchor_words(pairs: list[str], threshold: float) -> set[str]:
-    """Words of which every text that reaches ``threshold`` has one.
+def needed_pairs(pairs: list[str], threshold: float) -> int:
+    """So many of a template's pairs that a text which reaches ``threshold`` has one of them, whichever they are.
 
-    Such a text misses fewer than 1 - t / (2 - t) of the template's pairs; so words that
-    cover more pairs than may be missing are enough.  Long words are taken first, as the rarer ones.
+    Such a text has at least t / (2 - t) of the template's pairs; this is one more than it may lack.
     """
-    need = int(len(pairs) * (1 - threshold / (2 - threshold)) + 1e-9) + 1
-    left, chosen = [p.split(" ") for p in pairs], set()
-    for word in sorted({w for p in left for w in p}, key=lambda w: (-len(w), w)):
+    return int(len(pairs) * (1 - threshold / (2 - threshold)) + 1e-9) + 1
+
+
+def rare_pairs(pairs: list[str], threshold: float) -> list[str]:
+    """The longest pairs, as the rarer ones, of which every text that reaches ``threshold`` has one."""
+    return sorted(pairs, key=lambda p: (-len(p), p))[: needed_pairs(pairs, threshold)]
+
+
+def anchors(pairs: list[str], threshold: float) -> list[tuple[str, ...]]:
+    """Words, or pairs of words, of which every text that reaches ``threshold`` has one entry whole.
+
+    The entries touch as many pairs as are needed.  Words of six letters and more that touch most pairs are
+    taken first; where they do not suffice, both words of further pairs.
+    """
+    need = needed_pairs(pairs, threshold)
+    left, chosen = [tuple(p.split(" ")) for p in pairs], []
+    for word in sorted({w for p in left for w in p if len(w) >= 6}, key=lambda w: (-sum(w in p for p in left), w)):
         if len(pairs) - len(left) >= need:
-            break
-        chosen.add(word)
+            return chosen
+        chosen.append((word,))
         left = [p for p in left if word not in p]
-    return chosen
+    more = sorted(left, key=lambda p: (-len(p[0]) - len(p[1]), p))
+    return chosen + more[: max(0, need - (len(pairs) - len(left)))]
+
+
+def may_match(text: Column, lists: list[list[str]], threshold: float) -> Column:
+    """Necessary for any match: an anchor's words occur anywhere in the lowered text, and a rare pair in the normalised one."""
+    entries = sorted({e for pairs in lists for e in anchors(pairs, threshold)})
+
+    def any_of(lowered: Column) -> Column:
+        out = F.lit(False)
+        for entry in entries:
+            whole = F.contains(lowered, F.lit(entry[0]))
+            out = out | (whole & F.contains(lowered, F.lit(entry[1])) if len(entry) > 1 else whole)
+        return out
+
+    rare = sorted({p for pairs in lists for p in rare_pairs(pairs, threshold)})
+    known = F.array(*map(F.lit, rare)).cast("array<string>")
+    return let(F.lower(text), any_of) & F.arrays_overlap(bigrams(normalised(text)), known)
 
 
 def licence_scan(
@@ -96,9 +125,9 @@ def licence_scan(
     Compared are the whole text, each line and each paragraph (between blank lines), normalised; a
     part matches a template if 2 * common / (its distinct word pairs + the template's) reaches
     ``threshold``.  A template is a candidate only if the part's number of pairs lies between
-    t / (2 - t) and (2 - t) / t times its own.  Texts without any anchor word (``anchor_words``, a
-    necessary condition) are left out before they are cut into parts, and each distinct part is
-    compared once, through the word pairs it shares with templates.
+    t / (2 - t) and (2 - t) / t times its own.  Texts without any anchor (``may_match``, a necessary
+    condition) are left out before they are cut into parts, and each distinct part is compared once,
+    through the word pairs it shares with templates.
 
     The templates' pairs come to the driver once to choose the anchors; more than ``max_templates``
     templates are an error.  Rows that share an id count together, a missing id is one of its own; missing
@@ -110,11 +139,7 @@ def licence_scan(
         F.size("pairs") > 0).limit(max_templates + 1).collect()
     if len(pairs) > max_templates:
         raise ValueError(f"more than {max_templates} templates")
-    words = sorted({w for r in pairs for w in anchor_words(r.pairs, threshold)})
-    lowered = F.translate(F.col(text_col), UPPER, LOWER)
-    may = F.lit(False)
-    for word in words:
-        may = may | F.contains(lowered, F.lit(word))
+    may = may_match(F.col(text_col), [r.pairs for r in pairs], threshold)
     text = F.col(text_col)
     parts = F.array_distinct(F.concat(F.array(text), F.split(text, "\n", -1), F.split(text, PARAGRAPH, -1)))
     units = (
@@ -146,7 +171,7 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(documents(spark, sf_dir, "doc_id", "text"), built_in_templates(spark))
 
 
-_NORMAL = "trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+_NORMAL = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _PAIRS = (
     "list_distinct(list_transform(range(1, len(string_split({0}, ' '))), "
     "lambda i: string_split({0}, ' ')[i] || ' ' || string_split({0}, ' ')[i + 1]))")

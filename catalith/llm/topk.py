@@ -11,7 +11,7 @@ from catalith.session import settle
 
 FOUND = "query_id bigint, query_key bigint, vec_id bigint, score bigint"
 ARROW = pa.schema([(n, pa.int64()) for n in ("query_id", "query_key", "vec_id", "score")])
-SAFE = 2.0**52  # sums below are exact in double precision
+EXACT = {np.float32: 2.0**24, np.float64: 2.0**53}  # integer sums below are exact
 
 
 def scaled(vector: Column, factor: int = 64) -> Column:
@@ -32,42 +32,42 @@ def block_topk(
 
     Each component's values are one list, sorted once.  A query reads a list from its top where its
     own component is positive and from its bottom where it is negative, all lists to the same depth,
-    which doubles per round.  What was read gives a partial score; the list's frontier bounds what is
-    unread from above and its far end from below.  A query stops once fewer than a few times ``k``
-    rows have an upper bound that reaches the k-th best lower bound; their scores are then resolved.
-    A row tied with the k-th lower bound is never an outsider, so ties are exact.
+    which grows fourfold per round; equal values are read together.  What is unread counts at most as the
+    value the list has been read to, and at least as its far end, which gives every row an upper and a
+    lower bound.  A query stops once no more than a few times ``k`` rows have an upper bound that reaches
+    the k-th best lower bound; their scores are then resolved.  A row tied with that bound is never an
+    outsider, so ties are exact.
     """
     n, dims = vectors.shape
     own = query_ids[:, None] == ids[None, :]
-    if max(1.0, float(np.abs(vectors).max(initial=0))) * max(1.0, float(np.abs(queries).max(initial=0))) * max(dims, 1) > SAFE:
-        exact = queries @ vectors.T  # too large for bounds in double precision
-        return _best(np.arange(len(queries)), exact, ~own, ids, k)
-    v = vectors.astype(np.float64)
-    order = np.argsort(v, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    lists = np.take_along_axis(v, order, axis=0)  # ascending
-    up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-    waiting, depth, out = np.arange(len(queries)), max(4 * k, n // 32), []
+    most = float(np.abs(vectors).max(initial=1)) * float(np.abs(queries).max(initial=1)) * max(dims, 1)
+    kind = next((t for t, limit in EXACT.items() if most < limit), None)
+    if kind is None or dims == 0:  # too large for bounds in floating point, or nothing to read
+        return _best(np.arange(len(queries)), queries @ vectors.T, ~own, ids, k)
+    v = vectors.astype(kind)
+    lists = np.sort(v, axis=0)
+    up, down = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
+    signs = np.hstack([up, down])
+    waiting, depth, out = np.arange(len(queries)), max(4 * k, n // 8), []
     while len(waiting):
-        depth = min(depth, n)
-        top, bottom = rank >= n - depth, rank < depth
-        best, worst = lists[n - depth], lists[depth - 1]  # frontiers from the top and from the bottom
-        u, d = up[waiting].T, down[waiting].T
-        partial = (v * top) @ u + (v * bottom) @ d
-        upper = (partial + (~top * best) @ u + (~bottom * worst) @ d).T
-        lower = (partial + (~top * lists[0]) @ u + (~bottom * lists[-1]) @ d).T
+        if depth < n:
+            high, low = lists[n - depth], lists[depth - 1]  # the values read to, from the top and from the bottom
+            q = signs[waiting]
+            upper = q @ np.hstack([np.maximum(v, high), np.minimum(v, low)]).T
+            lower = q @ np.hstack([np.where(v >= high, v, lists[0]), np.where(v <= low, v, lists[-1])]).T
+        else:
+            upper = lower = queries[waiting].astype(kind) @ v.T
         mine = own[waiting]
-        lower[mine], upper[mine] = -np.inf, -np.inf
-        floor = np.partition(lower, max(n - k, 0), axis=1)[:, max(n - k, 0)]
-        alive = (upper >= floor[:, None]) & ~mine
-        done = (alive.sum(axis=1) <= 8 * k) | (depth == n)
+        lower[mine] = -np.inf
+        kth = max(n - k, 0)
+        alive = (upper >= np.partition(lower, kth, axis=1)[:, kth, None]) & ~mine
+        done = (np.count_nonzero(alive, axis=1) <= 8 * k) | (depth >= n)
         for row in np.flatnonzero(done):
             at = np.flatnonzero(alive[row])
             scores = vectors[at] @ queries[waiting[row]]
             pick = np.lexsort((ids[at], -scores))[:k]
             out.append((np.full(len(pick), waiting[row]), ids[at][pick], scores[pick]))
-        waiting, depth = waiting[~done], 2 * depth
+        waiting, depth = waiting[~done], 4 * depth
     if not out:
         return (np.empty(0, np.int64),) * 3
     return tuple(np.concatenate(part) for part in zip(*out))
