@@ -23,7 +23,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 class WordHash(dict):
     """64-bit hash of each word, remembered; emptied when it holds ``most`` words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 100_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:

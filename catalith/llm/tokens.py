@@ -36,7 +36,7 @@ class WordIds:
     remembered; beyond it the memory starts anew, which changes nothing but time.
     """
 
-    def __init__(self, name: str, keep: int = 1_600_000):
+    def __init__(self, name: str, keep: int = 1_100_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
