@@ -50,7 +50,9 @@ def read_cache(df: DataFrame, path: str, schema: str) -> DataFrame:
     spark = df.sparkSession
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # anything else is a fault, not an empty table
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -45,13 +45,16 @@ def similarity(vector: Column, query: Sequence[float] | Column) -> Column:
     if isinstance(query, Column):
         @F.arrow_udf("double")
         def pairwise(v: pa.Array, q: pa.Array) -> pa.Array:
-            sizes = pc.list_value_length(q)
-            size = pc.max(sizes).as_py() or 0
-            m, rows = _matrix_of(v, size)
-            other, asked = _matrix_of(q, size)
-            m, other = m[asked[rows]], other[rows[asked]]
-            length = np.linalg.norm(m, axis=1) * np.linalg.norm(other, axis=1)
-            return _scores(rows & asked, np.einsum("ij,ij->i", m, other), length)
+            sizes = pc.list_value_length(q).to_numpy(zero_copy_only=False)
+            out = np.full(len(q), np.nan)
+            for size in np.unique(sizes[sizes > 0]):  # each size by itself: a batch may hold several
+                m, rows = _matrix_of(v, int(size))
+                other, asked = _matrix_of(q, int(size))
+                m, other = m[asked[rows]], other[rows[asked]]
+                length = np.linalg.norm(m, axis=1) * np.linalg.norm(other, axis=1)
+                scores = _scores(rows & asked, np.einsum("ij,ij->i", m, other), length)
+                out = np.where(rows & asked, scores.to_numpy(zero_copy_only=False).astype(float), out)
+            return pa.array(out, from_pandas=True)
 
         return pairwise(vector, query)
 
@@ -68,7 +71,10 @@ def similarity(vector: Column, query: Sequence[float] | Column) -> Column:
 
 def query_vector(df: DataFrame, cond: Column, vector: str) -> list[float]:
     """The vector of the one row that meets the condition."""
-    return df.where(cond).select(vector).first()[0]
+    row = df.where(cond).select(vector).first()
+    if row is None:
+        raise ValueError(f"no row meets the condition {cond}")
+    return row[0]
 
 
 def with_query(df: DataFrame, source: DataFrame, cond: Column, vector: str,
@@ -79,9 +85,13 @@ def with_query(df: DataFrame, source: DataFrame, cond: Column, vector: str,
 
 def topk(df: DataFrame, score: Column, keep: Sequence[str], k: int, tie: str,
          name: str = "score") -> DataFrame:
-    """The k best rows by score, ties by ``tie``; rows without a score are left out."""
-    scored = df.select(*keep, score.alias(name)).where(F.col(name).isNotNull())
-    return scored.orderBy(F.desc(name), tie).limit(k)
+    """The k best rows by score, ties by ``tie``; rows without a score are left out.
+
+    They come last in the order and go after the limit, as a filter below it would
+    compute every score a second time.
+    """
+    best = df.select(*keep, score.alias(name)).orderBy(F.desc_nulls_last(name), tie).limit(k)
+    return best.where(F.col(name).isNotNull())
 
 
 def weighted_score(pairs: Sequence[tuple[float, Column, Sequence[float]]]) -> Column:

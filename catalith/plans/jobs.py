@@ -49,11 +49,12 @@ def catalogue_from_pages(
 
 def price_gaps(
     cars: DataFrame, key: str, order: str, listings: DataFrame, own_low: str,
+    own_high: str | None = None,
 ) -> DataFrame:
     """Families with a row that lacks a price get the robust range of their listings.
 
     ``listings`` has the family key and a ``price``.  A family without usable
-    listings keeps what its rows say.
+    listings keeps what its rows say: ``own_low`` and, if given, ``own_high``.
     """
     blank = text.nonempty(C(own_low)).isNull()
     nothing = cars.select(key).where(F.lit(False))
@@ -62,9 +63,10 @@ def price_gaps(
     ranges = aggregate.robust_range(relevant, key, C("price"))
     joined = lookup.join_lookup(cars, ranges, [key])
     own = text.number(C(own_low), thousands=True)
+    own_top = text.number(C(own_high), thousands=True) if own_high else F.lit(None).cast("double")
     return joined.withColumns({
         "price_low_filled": F.coalesce(C("min_price"), own),
-        "price_high_filled": C("max_price"),
+        "price_high_filled": F.coalesce(C("max_price"), own_top),
         "confidence": F.coalesce("confidence", F.lit("low")),
         "notes": F.coalesce("notes", F.lit("no-parse")),
     }).drop("min_price", "max_price")

@@ -80,8 +80,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         " WHEN 1 THEN concat('PROS roomy ', source) WHEN 2 THEN concat('CONS noisy ', source)"
         " ELSE '&' END AS pros_cons_text",
         "CASE doc_id % 3"
-        " WHEN 0 THEN concat('Written by Simon Harris', ' Published: 6 June 2019')"
-        " WHEN 1 THEN 'Written by Graeme Lambert, editor' ELSE 'anonymous' END AS author_text",
+        " WHEN 0 THEN concat('Written by Ivo Marsh', ' Published: 6 June 2019')"
+        " WHEN 1 THEN 'Written by Tess Quill, editor' ELSE 'anonymous' END AS author_text",
     )),
     "answers": ("events", (
         "event_id",

@@ -94,11 +94,12 @@ def cache_last_wins(lines: DataFrame, line: str, order: str, schema: str) -> Dat
 
 
 def read_cache_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines files with an order column: file name, then position in the file."""
+    """JSON-lines files with an order column: time and path of the file, then position in it."""
     return spark.read.text(path).select(
         F.col("value").alias("line"),
         F.struct(
-            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_modification_time").alias("time"),
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("line_no"),

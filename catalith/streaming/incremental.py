@@ -15,7 +15,9 @@ def _written(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Output of the batches before this one."""
     try:
         done = spark.read.option("basePath", path).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # anything else is a fault, not an empty table
+            raise
         return None
     return done.where(F.col("batch_id") < batch_id)
 

@@ -164,3 +164,14 @@ def test_resume_transforms_only_new_rows(spark, tmp_path):
     incremental.append_batch(rows, 1, out, "k", transform)
     assert sorted(open(log).read().split()) == [f"t{k}" for k in range(6)]
     assert spark.read.parquet(out).count() == 6
+
+
+def test_price_gaps_falls_back_to_both_own_prices(spark):
+    from catalith.plans import jobs
+
+    cars = spark.createDataFrame(
+        [(1, "a", None, "9,000"), (2, "b", "100", "200")], "car_id int, fid string, low string, high string")
+    listings = spark.createDataFrame([], "fid string, price double")
+    got = {r.car_id: r for r in jobs.price_gaps(cars, "fid", "car_id", listings, "low", "high").collect()}
+    assert (got[1].price_low_filled, got[1].price_high_filled) == (None, 9000.0)
+    assert (got[2].price_low_filled, got[2].price_high_filled) == (100.0, 200.0)

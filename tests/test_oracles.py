@@ -20,7 +20,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_entry_has_rows(spark):
-    assert entry.entry(spark).columns == ["car_id", "family", "essence"] or entry.entry(spark).count()
+    assert entry.entry(spark).count() == spark.read.parquet(f"{SF}/part.parquet").count()
 
 
 def test_oracles_name_known_queries():

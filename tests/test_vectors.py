@@ -116,3 +116,24 @@ def test_rerank_modes(spark):
     top = rows.where("f = 'a'")
     assert search.rerank_join(rows, top, ["f"]).count() == 2
     assert search.rerank_join(rows, top, ["f"], dedupe=False).count() == 4
+
+
+def test_similarity_of_mixed_sizes_does_not_depend_on_batches(spark):
+    rows = [(0, [1.0, 0.0], [2.0, 0.0]), (1, [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]), (2, [1.0], [1.0, 1.0]), (3, [0.0], [1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>, q array<double>")
+    for parts in (1, 4):
+        got = df.repartition(parts).select("id", search.similarity(F.col("v"), F.col("q")).alias("s")).collect()
+        assert {r.id: r.s for r in got} == {0: 1.0, 1: 0.0, 2: None, 3: None}
+
+
+def test_topk_computes_each_score_once(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0])], "id int, v array<double>")
+    best = search.topk(df, search.similarity(F.col("v"), [1.0, 0.0]), ["id"], 5, "id")
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and [tuple(r) for r in best.collect()] == [(0, 1.0)]
+
+
+def test_query_vector_names_a_missing_row(spark):
+    df = spark.createDataFrame([(0, [1.0])], "id int, v array<double>")
+    with pytest.raises(ValueError):
+        search.query_vector(df, F.col("id") == 7, "v")
