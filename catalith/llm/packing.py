@@ -74,11 +74,11 @@ class OpenWindows:
         return out
 
 
-def _placer(vocabulary: str, end_id: int, size: int, open_windows: int):
+def _placer(vocabulary: str, end_id: int, size: int, open_windows: int, remember: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, windows = word_ids(vocabulary), OpenWindows(size, open_windows)
+        encoder, windows = word_ids(vocabulary, remember), OpenWindows(size, open_windows)
         part = TaskContext.get().partitionId()
 
         def rows() -> pa.RecordBatch:
@@ -128,6 +128,7 @@ def _merger(size: int):
 def pack(
     docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, size: int = 4096,
     open_windows: int = 128, merge_parts: int = 16, id_col: str = "doc_id", text_col: str = "text",
+    remember: int = 1_600_000,
 ) -> DataFrame:
     """Pieces of all documents, placed into sequences of at most ``size`` ids.
 
@@ -135,8 +136,8 @@ def pack(
     are cut at multiples of ``size``; each piece goes where it leaves the least room, and where none
     has room the fullest window is closed.  The windows that stay open in ``merge_parts`` partitions
     are laid end to end and cut at window ends, so that one window per such group is not full.
-    Memory: the open windows of one partition, or of ``merge_parts`` partitions; neither grows with
-    the input.  The placed pieces are written to the shared folder once, so texts are encoded once.
+    Memory: the open windows of one partition, or of ``merge_parts`` partitions, and the ids of
+    ``remember`` words; none grows with the input.  The placed pieces are written to the shared folder once, so texts are encoded once.
 
     Gives doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
     A missing or empty text has the end id alone.  Repeated rows are documents of their own, a
@@ -144,7 +145,7 @@ def pack(
     """
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     placed = settle(
-        slim.mapInArrow(_placer(vocabulary, end_id, size, open_windows), PLACED), "packed-pieces")
+        slim.mapInArrow(_placer(vocabulary, end_id, size, open_windows, remember), PLACED), "packed-pieces")
     closed = placed.where("closed").select(
         *NAMES[:5], (F.shiftleft(F.col("part").cast("bigint") * 2, 32) + F.col("window")).alias("sequence_id"),
         "offset")

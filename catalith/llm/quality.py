@@ -104,12 +104,14 @@ class Model:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by accelerated gradient steps of a fixed, safe length."""
-    weights = ahead = np.zeros(x.shape[1] + 1)
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    """Ridge logistic regression by accelerated gradient steps of a fixed, safe length.
+
+    The last column of ``x`` is all ones.
+    """
+    weights = ahead = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 0
-    length = 1.0 / (0.25 * float((x * x).sum(1).max()) + ridge)
+    length = 1.0 / (0.25 * float(np.einsum("ij,ij->i", x, x).max()) + ridge)
     for k in range(steps):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ ahead.astype(x.dtype), -50, 50)))
         step = ahead - length * ((x.T @ (p - y).astype(x.dtype)) / len(y) + penalty * ahead)
@@ -117,20 +119,22 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int) -> tupl
     return weights[:-1], float(weights[-1])
 
 
-def fit(x: np.ndarray, y: np.ndarray, held_out: np.ndarray, ridge: float = 1e-5, steps: int = 400) -> Model | None:
-    """Fit on the rows outside ``held_out`` and calibrate on those inside; None without two classes."""
-    if len(y) == 0 or len(np.unique(y[~held_out])) < 2:
+def fit(x: np.ndarray, y: np.ndarray, n_fit: int, ridge: float = 1e-5, steps: int = 400) -> Model | None:
+    """Fit on the first ``n_fit`` rows and calibrate on the others; None without two classes.
+
+    The last column of ``x`` is all ones.  Slices are views, so the rows are in memory once.
+    """
+    if len(np.unique(y[:n_fit])) < 2:
         return None
-    weights, bias = fit_logistic(x[~held_out], y[~held_out], ridge, steps)
+    weights, bias = fit_logistic(x[:n_fit], y[:n_fit], ridge, steps)
     slope, shift = 1.0, 0.0
-    if len(np.unique(y[held_out])) == 2:
-        margin = (x[held_out] @ weights + bias)[:, None]
+    if len(np.unique(y[n_fit:])) == 2:
+        margin = x[n_fit:, :-1] @ weights.astype(x.dtype) + bias
         spread = float(margin.std()) or 1.0
-        line, shift = fit_logistic(margin / spread, y[held_out], 1e-4, 2000)
+        pairs = np.stack([margin / spread, np.ones(len(margin))], axis=1)
+        line, line_shift = fit_logistic(pairs, y[n_fit:], 1e-4, 2000)
         if line[0] > 0:
-            slope = float(line[0]) / spread
-        else:
-            shift = 0.0
+            slope, shift = float(line[0]) / spread, line_shift
     return Model(weights.astype(np.float32), bias, slope, shift)
 
 
@@ -166,12 +170,15 @@ def train(
         texts.join(F.broadcast(chosen), "id").select("rank", "y", "text")
         .mapInArrow(vectors, "rank bigint, y double, x binary").collect())
     rows = sorted((r.rank, r.y, bytes(r.x)) for r in rows)[:train_rows]  # repeated ids keep the bound
-    x = np.zeros((len(rows), CHAR_BINS + WORD_BINS), np.float32)
+    rows.sort(key=lambda r: (r[0] & 3) == 0)  # the held-out quarter last
+    x = np.zeros((len(rows), CHAR_BINS + WORD_BINS + 1), np.float32)
+    x[:, -1] = 1
     for i, (_, _, data) in enumerate(rows):
         n = len(data) // 6
         x[i, np.frombuffer(data, "<u2", n)] = np.frombuffer(data, "<f4", n, 2 * n)
-    ranks = np.array([r[0] for r in rows], np.int64)
-    return fit(x, np.array([r[1] for r in rows], np.float64), (ranks & 3) == 0)
+    y, n_fit = np.array([r[1] for r in rows], np.float64), sum((r[0] & 3) != 0 for r in rows)
+    del rows
+    return fit(x, y, n_fit)
 
 
 def quality_rules(

@@ -36,7 +36,7 @@ class WordIds:
     remembered; beyond it the memory starts anew, which changes nothing but time.
     """
 
-    def __init__(self, name: str, keep: int = 1_100_000):
+    def __init__(self, name: str, keep: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
@@ -82,9 +82,9 @@ class WordIds:
 
 
 @lru_cache(maxsize=4)
-def word_ids(name: str) -> WordIds:
+def word_ids(name: str, keep: int = 1_600_000) -> WordIds:
     """The worker's encoder for a vocabulary file."""
-    return WordIds(name)
+    return WordIds(name, keep)
 
 
 @lru_cache(maxsize=4)

@@ -36,8 +36,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of at most 4096 ids; one row per piece."""
-    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    """Packs what is left into sequences of at most 4096 ids; one row per piece.
+
+    The Python workers also serve the other stages, so they remember fewer words here.
+    """
+    return packing.pack(docs, remember=400_000).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
