@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalith import values
+from catalith.functions.markup import decode, elements
 from catalith.functions.rules import contains_any
 from catalith.functions.text import clean_text, let, text
 
@@ -190,22 +191,28 @@ def prose_specs(article: Column) -> dict[str, Column]:
 
 
 def html_prices(html: Column, marks: Sequence[str] = values.PRICE_MARKS) -> Column:
-    """Distinct prices in order: marked elements, else every text chunk with a pound sign."""
+    """Distinct prices in order: marked elements, else every text chunk with a pound sign.
+
+    A mark is text in an opening tag.  A marked element is read whole, its inner
+    tags left out; character references count as their characters.
+    """
     def first_price(chunk: Column) -> Column:
         digits = F.replace(F.regexp_extract(chunk, values.POUNDS, 1), F.lit(","), F.lit(""))
         return F.nullif(digits, F.lit("")).try_cast("double")
 
-    source = text(html)
-    marked = F.concat(*[
-        F.regexp_extract_all(
-            source, F.lit(rf"(?s)<(\w+)[^>]*{mark}[^>]*>(.*?)</\1>"), F.lit(2)
-        )
-        for mark in marks
-    ])
-    in_marked = F.array_compact(F.transform(marked, first_price))
-    chunks = F.filter(F.split(source, "<[^>]+>"), lambda c: c.contains("£"))
-    in_chunks = F.array_compact(F.transform(chunks, first_price))
-    return F.array_distinct(F.when(F.size(in_marked) > 0, in_marked).otherwise(in_chunks))
+    def words(inside: Column) -> Column:
+        return decode(F.regexp_replace(inside, "<[^>]+>", ""))
+
+    def read(source: Column) -> Column:
+        marked = F.concat(*[
+            elements(source, None, lambda tag, mark=mark: tag.contains(mark)) for mark in marks])
+        in_marked = F.array_compact(F.transform(marked, lambda e: first_price(words(e))))
+        chunks = F.filter(
+            F.transform(F.split(source, "<[^>]+>"), decode), lambda c: c.contains("£"))
+        in_chunks = F.array_compact(F.transform(chunks, first_price))
+        return F.array_distinct(F.when(F.size(in_marked) > 0, in_marked).otherwise(in_chunks))
+
+    return let(text(html), read)
 
 
 def answer_json(answer: Column, schema: str = PRICE_ANSWER) -> Column:

@@ -1,7 +1,8 @@
 """Page text, sections, markdown and fields on the tag stream, without a DOM tree.
 
-Script, style and comments go first, because they may hold tags; after that
-only opening tags are trusted, since pages leave tags unclosed.
+Script, style and comments go first, because they may hold tags.  Elements are
+read whole, up to the tag that closes them; one that nothing closes runs to the
+end of the page, since pages leave tags unclosed.
 """
 
 from __future__ import annotations
@@ -13,14 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalith.functions.extract import found
+from catalith.functions.markup import decode, elements, has_class
 from catalith.functions.text import let, text
 
-# fixed values: the named character references that occur in plain text
-ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'",
-    "&pound;": "£", "&copy;": "©", "&middot;": "·", "&ndash;": "–", "&mdash;": "—",
-    "&amp;": "&",
-}
 BLOCK_END = r"(?i)<(?:br|/p|p|/div|div|/li|/ul|/ol|/h[1-6]|h[1-6]|/tr|/title)\b[^>]*>"
 LIST_ITEM = r"(?i)<li\b[^>]*>"
 
@@ -32,17 +28,12 @@ def strip_noise(html: Column) -> Column:
 
 
 def article(html: Column) -> Column:
-    """The inside of the first article element, else the whole page."""
-    return let(
-        strip_noise(html),
-        lambda clean: F.coalesce(found(clean, r"(?is)<article\b[^>]*>(.*?)</article>"), clean),
-    )
-
+    """The insides of all article elements in order, else the whole page."""
+    def read(clean: Column) -> Column:
+        inside = F.array_join(elements(clean, "article", outer=True), "<p>")
+        return let(inside, lambda body: F.when(body != "", body).otherwise(clean))
 
-def decode(col: Column) -> Column:
-    for mark, char in ENTITIES.items():
-        col = F.replace(col, F.lit(mark), F.lit(char))
-    return col
+    return let(strip_noise(html), read)
 
 
 def lines(fragment: Column, glue: str) -> Column:
@@ -84,9 +75,8 @@ def sections(html: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    return F.nullif(
-        inline(F.regexp_extract(article(html), r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)), F.lit("")
-    )
+    head = let(article(html), lambda body: F.get(elements(body, "h1", first=True), F.lit(0)))
+    return let(inline(head), lambda t: F.when(t != "", t))
 
 
 def markdown(html: Column) -> Column:
@@ -100,7 +90,7 @@ def markdown(html: Column) -> Column:
 
 
 class FieldRule(NamedTuple):
-    """Where a field is found: tag, optional class token; lower order wins."""
+    """Where a field is found: tag, optional class token (a whole word); lower order wins."""
 
     field: str
     tag: str
@@ -118,24 +108,18 @@ DEFAULT_FIELDS = (
     FieldRule("pros", "ul", "pros", order=1, min_chars=6),
     FieldRule("cons", "ul", "cons", order=1, min_chars=6),
     FieldRule("rivals", "a", "rival-review-card", order=1, many=True),
-    FieldRule("note", "div", "ad", order=1),
 )
 
 
 def rule_value(clean: Column, rule: FieldRule) -> Column:
-    if rule.token:
-        mark = rf"""[^>]*class=["'][^"'>]*{rule.token}[^"'>]*["'][^>]*"""
-    else:
-        mark = r"(?:\s[^>]*)?"
-    pattern = rf"(?is)<{rule.tag}\b{mark}>(.*?)</{rule.tag}>"
+    wanted = (lambda mark: has_class(mark, rule.token)) if rule.token else None
+    hits = elements(clean, rule.tag, wanted, first=not rule.many)
     if rule.many:
-        hits = F.transform(F.regexp_extract_all(clean, F.lit(pattern), F.lit(1)), inline)
-        value = F.array_join(F.filter(hits, lambda h: h != ""), " | ")
+        value = F.array_join(F.filter(F.transform(hits, inline), lambda h: h != ""), " | ")
     elif rule.tag in ("ul", "ol"):
-        inside = F.regexp_extract(clean, pattern, 1)
-        value = F.regexp_replace(lines(inside, " | "), r"(^|\| )- ", "$1")
+        value = F.regexp_replace(lines(F.get(hits, F.lit(0)), " | "), r"(^|\| )- ", "$1")
     else:
-        value = inline(F.regexp_extract(clean, pattern, 1))
+        value = inline(F.get(hits, F.lit(0)))
     return let(
         value, lambda v: F.when((F.length(v) >= rule.min_chars) & (v != "&"), v)
     )

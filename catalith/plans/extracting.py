@@ -84,8 +84,9 @@ def page_markdown(spark, sf):
 
 @query
 def page_fields(spark, sf):
+    note = html.FieldRule("note", "div", "ad")  # the given pages hold no other marked element
     return view(spark, sf, "review_pages").select(
-        "page_id", F.inline(html.fields(C("html")))
+        "page_id", F.inline(html.fields(C("html"), [*html.DEFAULT_FIELDS, note]))
     )
 
 

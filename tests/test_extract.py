@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from catalith.functions import extract, html
+from catalith.functions import extract, html, markup
 
 C = F.col
 
@@ -127,6 +127,47 @@ PAGE = """<html><head><title>T &amp; t</title><style>p{}</style>
 <h2>Empty</h2></article><footer>x</footer></body></html>"""
 
 
+def test_elements_are_whole(one):
+    page = ('<div class="header">NAV</div><div class="x ad">A <div>inner</div> tail</div>'
+            "<DIV class=ad>b</div><div class='an-ad'>no</div><div class=\"ad\"/><div class='ad y'>open <p>end")
+    ads = lambda mark: markup.has_class(mark, "ad")
+    whole = ["A <div>inner</div> tail", "b", "open <p>end"]
+    assert one(markup.elements(C("s"), "div", ads), s=page) == whole
+    assert one(markup.elements(C("s"), None, ads), s=page) == whole
+    assert one(markup.elements(C("s"), "div", ads, first=True), s=page) == whole[:1]
+    assert one(markup.elements(C("s"), "div"), s="a<div>b<div>c</div>d</div>e") == ["b<div>c</div>d", "c"]
+    assert one(markup.elements(C("s"), "div", outer=True), s="<div>b<div>c</div></div><div>d</div>") == [
+        "b<div>c</div>", "d"]
+    assert one(markup.elements(C("s"), "div"), s="") == [] and one(markup.elements(C("s"), "div"), s=None) is None
+
+
+def test_field_rules_take_whole_classes(one):
+    page = ('<ul class="prospects"><li>wrong</li></ul><ul class="pros"><li>right one</li>'
+            "<li>more<ul><li>deep</li></ul></li><li>last</li></ul>")
+    got = {f["field"]: f["value"] for f in one(html.fields(C("s")), s=page)}
+    assert got == {"pros": "right one | more | deep | last"}
+
+
+def test_references(one):
+    assert one(markup.decode(C("s")), s="x &#8211; &#163;5 &eacute;&#xE9; &amp;lt; &no; &#150;&nbsp;y&#160;&#x1F600;") == (
+        "x – £5 éé &lt; &no; – y 😀")
+    assert one(markup.decode(C("s")), s="&#0;&#55296;&#9999999; & x;") == "\ufffd\ufffd\ufffd & x;"
+    assert one(markup.decode(C("s")), s=None) is None and one(markup.decode(C("s")), s="") == ""
+
+
+def test_all_articles(one):
+    page = "<article><h1>A</h1>x</article><nav>n</nav><article>y<article>z</article></article>"
+    assert one(html.markdown(C("s")), s=page).startswith("x\n\ny")
+    assert "n" not in one(html.sections(C("s")), s=page)[0]["text"]
+    assert one(html.title(C("s")), s=page) == "A"
+
+
+def test_prices_in_nested_elements(one):
+    page = '<div class="vehicle-price"><div>From</div>&pound;<b>9,000</b></div>'
+    assert one(extract.html_prices(C("s")), s=page) == [9000.0]
+    assert one(extract.html_prices(C("s")), s="<p>&#163;1,500</p>") == [1500.0]
+
+
 def test_sections(one):
     got = [tuple(s) for s in one(html.sections(C("s")), s=PAGE)]
     assert got[0][0] == "full_text" and "No" not in got[0][1] and "more <3" in got[0][1]
