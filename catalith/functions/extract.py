@@ -204,8 +204,11 @@ def html_prices(html: Column, marks: Sequence[str] = values.PRICE_MARKS) -> Colu
         return decode(F.regexp_replace(inside, "<[^>]+>", ""))
 
     def read(source: Column) -> Column:
+        none = F.array().cast("array<string>")
         marked = F.concat(*[
-            elements(source, None, lambda tag, mark=mark: tag.contains(mark)) for mark in marks])
+            F.when(source.contains(mark), elements(
+                source, None, lambda tag, mark=mark: tag.contains(mark))).otherwise(none)
+            for mark in marks])
         in_marked = F.array_compact(F.transform(marked, lambda e: first_price(words(e))))
         chunks = F.filter(
             F.transform(F.split(source, "<[^>]+>"), decode), lambda c: c.contains("£"))

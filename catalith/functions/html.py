@@ -114,6 +114,8 @@ DEFAULT_FIELDS = (
 def rule_value(clean: Column, rule: FieldRule) -> Column:
     wanted = (lambda mark: has_class(mark, rule.token)) if rule.token else None
     hits = elements(clean, rule.tag, wanted, first=not rule.many)
+    if rule.token:  # most pages hold few of the classes, so the tags are not walked in vain
+        hits = F.when(clean.contains(rule.token), hits).otherwise(F.array().cast("array<string>"))
     if rule.many:
         value = F.array_join(F.filter(F.transform(hits, inline), lambda h: h != ""), " | ")
     elif rule.tag in ("ul", "ol"):
