@@ -76,8 +76,8 @@ def _build_shard(mean: float):
     def shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         hashes, marks = _unsigned(table.column("hash")), _unsigned(table.column("mark"))
         bits, sizes, slots = build(hashes, marks)
-        prints, docs, counts = np.zeros(len(slots), "<u4"), np.zeros(len(slots), "<i8"), np.zeros(len(slots), "<u4")
-        prints[slots] = marks >> np.uint64(32)
+        prints, docs, counts = np.zeros(len(slots), "<u8"), np.zeros(len(slots), "<i8"), np.zeros(len(slots), "<u4")
+        prints[slots] = marks
         docs[slots] = table.column("first_doc").to_numpy()
         found = table.column("n").to_numpy()
         counts[slots] = np.minimum(found, 2**32 - 1)
@@ -104,7 +104,7 @@ def _probe_shard(lines: pa.Table, index: pa.Table) -> pa.Table:
     doc = lines.column("doc").to_numpy()
     slots = probe(bits, sizes, hashes, marks)
     known = slots >= 0
-    known &= np.frombuffer(shard["prints"], "<u4")[slots] == (marks >> np.uint64(32))
+    known &= np.frombuffer(shard["prints"], "<u8")[slots] == marks
     known &= np.frombuffer(shard["counts"], "<u4")[slots] >= 2
     known &= np.frombuffer(shard["docs"], "<i8")[slots] != doc
     return pa.table([pa.array(doc[known]), pa.array(hashes[known].view(np.int64))], schema=schema)
@@ -121,8 +121,9 @@ def dedup_lines(
     The result has the input's columns, ``text_col`` being what is left, and n_lines and n_dropped
     (with underscores in front if the input has such columns).
 
-    Distinct hashes of repeated lines (128 bits, of which 96 are checked) are indexed per shard by a
-    minimal perfect hash into arrays of fingerprints, first documents and counts.  Documents send
+    Distinct hashes of repeated lines are indexed per shard by a minimal perfect hash into arrays of
+    fingerprints, first documents and counts.  A line outside the set may lead to any slot, so a
+    fingerprint is a second hash of 64 bits: of 10^12 lines one is mistaken with a chance of 1 in 10^7.  Documents send
     (id, hash) pairs, never lines, to the shard; pairs of a hot shard are dealt over copies of it.
     Only the numbers of pairs and of keys reach the driver.
 
