@@ -119,16 +119,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     Stars are contracted in turn around larger and smaller neighbours until nothing changes; each
     round is written to the shared folder.  Minima are combined before any shuffle, and a node with
-    very many neighbours only sends its own minimum to them.  Minima are written before they are joined,
-    here and below: a join with an aggregate in the same stage cannot be split where a key is hot.
+    very many neighbours only sends its own minimum to them.
     """
     e = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least-neighbours")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         e = settle(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
-        least = settle(e.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
+        least = e.groupBy("u").agg(F.min("v").alias("m"))
         near = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         near = near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         e = settle(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
@@ -157,6 +156,7 @@ def _mixed_buckets(large: DataFrame, roots: DataFrame) -> DataFrame:
     """(cell, node, root, largest) of the large buckets whose members are in several classes."""
     known = settle(large.select("cell", "node").join(roots, "node", "left").select(
         "cell", "node", F.coalesce("root", "node").alias("root")), "large-buckets")
+    # written, because a join with an aggregate in the same stage cannot be split where a bucket is hot
     several = settle(known.groupBy("cell", "root").count().groupBy("cell").agg(
         F.count("*").alias("classes"), F.max(F.struct("count", "root"))["root"].alias("largest"))
         .where("classes > 1").select("cell", "largest"), "mixed-cells")
@@ -188,7 +188,7 @@ def _overlap_pairs(open_nodes: DataFrame, nodes: DataFrame, texts: DataFrame, wi
         texts.join(ids, ["node", "id"]).dropDuplicates(["node"]).select("node", "root", "text")
         .mapInArrow(_shingle_lists(width), "node binary, root binary, shingles array<bigint>"), "shingle-lists")
     flat = lists.select("node", F.explode("shingles").alias("shingle"))
-    often = settle(flat.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1"), "common-shingles")
+    often = flat.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
     held = settle(flat.join(often, "shingle"), "shared-shingles")
     place = Window.partitionBy("node").orderBy("texts", "shingle")
     shared = held.groupBy("node").agg(F.count("*").alias("shared"))
@@ -200,10 +200,10 @@ def _overlap_pairs(open_nodes: DataFrame, nodes: DataFrame, texts: DataFrame, wi
         ranked.where(F.col("rank") <= F.col("size") - F.ceil(t * F.col("size") - exact) + 1)
         .withColumn("shorter", F.col("rank") <= F.col("size") - F.ceil(2 * t / (1 + t) * F.col("size") - exact) + 1)
         .select("shingle", "node", "root", "size", "shorter"), "prefixes")
-    lead = settle(
+    lead = (
         prefix.groupBy("shingle", "root").count().groupBy("shingle")
         .agg(F.count("*").alias("classes"), F.max(F.struct("count", "root"))["root"].alias("largest"))
-        .where("classes > 1").drop("classes"), "mixed-shingles")
+        .where("classes > 1").drop("classes"))
     listed = settle(prefix.join(lead, "shingle"), "mixed-lists")
     other = listed.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "size", "shorter")])
     fits = (
@@ -248,8 +248,8 @@ def near_classes(
 
     cells = nodes.select("node", F.explode("bands").alias("cell"))
     hub = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"]
-    shared = settle(cells.groupBy("cell").agg(
-        F.count("*").alias("n"), *[hub(k).alias(f"hub{k}") for k in range(3)]).where("n > 1"), "shared-buckets")
+    shared = cells.groupBy("cell").agg(
+        F.count("*").alias("n"), *[hub(k).alias(f"hub{k}") for k in range(3)]).where("n > 1")
     members = settle(cells.join(shared, "cell"), "bucket-members")
     few = members.where(F.col("n") <= small).select("cell", F.col("node").alias("a"))
     pairs = few.join(few.withColumnRenamed("a", "b"), "cell").where("a < b").select("a", "b")
@@ -260,8 +260,7 @@ def near_classes(
 
     # buckets that still hold several classes: first their outsiders with members of the largest class
     mixed = _mixed_buckets(large, roots)
-    inner = settle(mixed.where("root = largest").groupBy("cell").agg(
-        *[hub(k).alias(f"hub{k}") for k in range(3, 7)]), "bucket-hubs")
+    inner = mixed.where("root = largest").groupBy("cell").agg(*[hub(k).alias(f"hub{k}") for k in range(3, 7)])
     again = mixed.where("root <> largest").join(inner, "cell").select(
         F.col("node").alias("a"), F.explode(F.array("hub3", "hub4", "hub5", "hub6")).alias("b"))
     links = links.unionByName(_links(again, nodes, texts, width, threshold))
@@ -275,7 +274,7 @@ def near_classes(
 
     classed = nodes.select("node", "id").join(roots, "node", "left").select(
         "node", "id", F.coalesce("root", "node").alias("root"))
-    first = settle(classed.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first")), "class-firsts")
+    first = classed.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first"))
     chosen = settle(classed.join(first, "root").select(
         "node", F.col("first.id").alias("class_id"), F.col("first.node").alias("class_node")), "near-classes")
     return sketches.select("id", "node").join(chosen, "node")
