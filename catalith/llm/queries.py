@@ -1,7 +1,7 @@
 """The registered queries of this folder and their SQL."""
 
 from catalith.llm import (
-    counting, licences, lines, mixing, neardup, packing, quality, sharding, topk, urls,
+    alignment, counting, licences, lines, mixing, neardup, packing, quality, sharding, topk, urls,
 )
 
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filters": urls.op8_url_filters,
     "op9_sharding": sharding.op9_sharding,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op13_alignment": alignment.op13_alignment,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_topk": topk.SQL,
