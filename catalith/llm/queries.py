@@ -2,6 +2,7 @@
 
 from catalith.llm import (
     alignment, counting, licences, lines, mixing, neardup, packing, quality, sharding, topk, urls,
+    whitening,
 )
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_url_filters": urls.op8_url_filters,
     "op9_sharding": sharding.op9_sharding,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op12_whitening": whitening.op12_whitening,
     "op13_alignment": alignment.op13_alignment,
 }
 ORACLES: dict[str, str] = {
