@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -45,12 +46,11 @@ def byte_characters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """The bytes of every token, their lengths, and the ids as text before each separator."""
+    """The bytes of every token, and their lengths."""
 
     def __init__(self, pieces: list[bytes]):
         self.pieces = pieces
         self.length = np.array([len(p) for p in pieces], np.int64)
-        self.words = [f"{i}{mark}" for mark in ",|;" for i in range(len(pieces))]
 
     def spells(self, ids: list[int], raw: bytes) -> bool:
         return b"".join(map(self.pieces.__getitem__, ids)) == raw
@@ -101,13 +101,12 @@ def vocabulary(name: str) -> ByteLevel | Pieces:
     return Pieces(name) if name.endswith(".model") else ByteLevel(name)
 
 
-def _tokens(ids: list[list[int]], length: np.ndarray) -> pd.DataFrame:
+def _tokens(ids: list[np.ndarray], length: np.ndarray) -> pd.DataFrame:
     """id, document and first byte of each token; the documents' bytes stand one behind the other."""
-    counts = np.array([len(i) for i in ids])
-    flat = np.fromiter((i for one in ids for i in one), np.int64, counts.sum())
+    flat = np.concatenate(ids)
     size = length[flat]
     return pd.DataFrame({
-        "at": np.cumsum(size) - size, "doc": np.repeat(np.arange(len(ids)), counts), "id": flat,
+        "at": np.cumsum(size) - size, "doc": np.repeat(np.arange(len(ids)), [len(i) for i in ids]), "id": flat,
         "place": np.arange(len(flat))}, copy=False)
 
 
@@ -117,83 +116,158 @@ def covering(tokens: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
     return pd.merge_asof(tokens[["at", "doc"]], other, on="at", by="doc")["other"].to_numpy(np.int64)
 
 
-def align(a_ids: list[list[int]], b_ids: list[list[int]], a: Vocabulary, b: Vocabulary):
+@lru_cache(maxsize=2)
+def _written(a_name: str, b_name: str) -> list[str]:
+    """Ids of both sides as text before each separator, in one list."""
+    sizes = (len(vocabulary(a_name).pieces), len(vocabulary(b_name).pieces))
+    return [f"{i}{mark}" for size in sizes for mark in ",|;" for i in range(size)]
+
+
+def align(a_ids: list[np.ndarray], b_ids: list[np.ndarray], a_name: str, b_name: str):
     """Links and groups of documents whose two token rows spell the same bytes.
 
     Each token's first byte finds the other side's token that covers it; the union of both directions
     is all overlaps, because of two overlapping tokens the later one begins inside the earlier.  Where
     both begin at one byte, both rows ended there, so a new group begins.
 
-    Gives the links as (document, a place, b place), the groups of each document, and each document's
+    Gives the document and id pair of each link, the number of groups of each document, and each document's
     groups as text.
     """
+    a, b = vocabulary(a_name), vocabulary(b_name)
     left, right = _tokens(a_ids, a.length), _tokens(b_ids, b.length)
     to_b, to_a = covering(left, right), covering(right, left)
     a_at, b_at = left["at"].to_numpy(), right["at"].to_numpy()
+    a_doc, b_doc = left["doc"].to_numpy(), right["doc"].to_numpy()
+    a_id, b_id = left["id"].to_numpy(np.int64), right["id"].to_numpy(np.int64)
     a_first, b_first = b_at[to_b] == a_at, a_at[to_a] == b_at
     inner = np.flatnonzero(~b_first)
-    places = np.arange(len(left)), np.arange(len(right))
-    a_doc, b_doc = left["doc"].to_numpy(), right["doc"].to_numpy()
-    links = (
-        np.concatenate([a_doc, b_doc[inner]]), np.concatenate([places[0], to_a[inner]]),
-        np.concatenate([to_b, inner]))
+    docs = np.concatenate([a_doc, b_doc[inner]])
+    pairs = np.concatenate([a_id << B_BITS | b_id[to_b], a_id[to_a[inner]] << B_BITS | b_id[inner]])
     groups = np.bincount(a_doc[a_first], minlength=len(a_ids))
 
     # a group is written as its a tokens, then its b tokens: each token's place in that order, and what follows it
-    n_groups = int(a_first.sum())
     a_group, b_group = np.cumsum(a_first) - 1, np.cumsum(b_first) - 1
-    a_until = np.cumsum(np.bincount(a_group, minlength=n_groups))
-    b_until = np.cumsum(np.bincount(b_group, minlength=n_groups))
-    order = np.empty(len(left) + len(right), np.int64)
-    mark = np.where(places[0] + 1 == a_until[a_group], BAR, COMMA)
-    order[places[0] + b_until[a_group] - np.bincount(b_group, minlength=n_groups)[a_group]] = (
-        mark * len(a.pieces) + left["id"].to_numpy())
-    mark = np.where(places[1] + 1 == b_until[b_group], SEMICOLON, COMMA)
-    order[places[1] + a_until[b_group]] = len(a.words) + mark * len(b.pieces) + right["id"].to_numpy()
-    words = a.words + b.words
+    a_size, b_size = (np.bincount(g, minlength=int(a_first.sum())) for g in (a_group, b_group))
+    a_until, b_until = np.cumsum(a_size), np.cumsum(b_size)
+    a_place, b_place = np.arange(len(a_id)), np.arange(len(b_id))
+    order = np.empty(len(a_id) + len(b_id), np.int64)
+    mark = np.where(a_place + 1 == a_until[a_group], BAR, COMMA)
+    order[a_place + (b_until - b_size)[a_group]] = mark * len(a.pieces) + a_id
+    mark = np.where(b_place + 1 == b_until[b_group], SEMICOLON, COMMA)
+    order[b_place + a_until[b_group]] = 3 * len(a.pieces) + mark * len(b.pieces) + b_id
+    words = _written(a_name, b_name)
     ends = np.cumsum([len(x) + len(y) for x, y in zip(a_ids, b_ids)]).tolist()
-    listed = order.tolist()
-    texts = ["".join(map(words.__getitem__, listed[x:y]))[:-1] for x, y in zip([0, *ends], ends)]
-    return links, groups, texts
+    texts = ["".join(map(words.__getitem__, order[x:y].tolist()))[:-1] for x, y in zip([0, *ends], ends)]
+    return docs, pairs, groups, texts
 
 
-def _aligner(a_name: str, b_name: str, chunk_bytes: int):
-    def chunk_rows(chunk: int, ids: list, texts: list[str | None]) -> list[dict]:
-        a, b = vocabulary(a_name), vocabulary(b_name)
-        asked = [i for i, t in enumerate(texts) if t]
-        given = [texts[i] for i in asked]
-        found = zip(asked, given, a.encode(given), b.encode(given)) if given else ()
+# A blank behind another character and before a visible one.  Both tokenizers begin a token there: the byte-level one
+# gives the last blank of a run to the word behind it, and no piece holds a blank behind another character.
+EDGE = re.compile(r"(?<=[^ ]) (?=\S)")
+
+
+class Segments:
+    """Alignments of the segments between edges; the tokens, groups and links of a text are those of its segments.
+
+    New segments are aligned in batches and remembered, up to ``keep`` of them, as words repeat; beyond that the
+    memory starts anew, which changes nothing but time.  A segment is (pairs as bytes, groups as text, n_a,
+    n_b, n_groups), or None where a side does not spell it.
+    """
+
+    def __init__(self, a_name: str, b_name: str, keep: int, batch: int = 1 << 17):
+        self.names, self.keep, self.batch, self.known = (a_name, b_name), keep, batch, {}
+
+    def _learn(self, segments: list[str]) -> None:
+        a, b = map(vocabulary, self.names)
         same = []
-        for i, text, x, y in found:
-            raw = b" " + text.encode()
+        for segment, x, y in zip(segments, a.encode(segments), b.encode(segments)):
+            raw = b" " + segment.encode()
+            self.known[segment] = None
             if a.spells(x, raw) and b.spells(y, raw):
-                same.append((i, x, y))
-        rows = [dict(chunk=chunk, id=i, n_a=0, n_b=0, n_groups=0, n_links=0, groups_sha256="") for i in ids]
+                same.append((segment, np.array(x, np.int32), np.array(y, np.int32)))
         if not same:
+            return
+        whose, a_ids, b_ids = zip(*same)
+        owner, pairs, groups, written = align(a_ids, b_ids, *self.names)
+        order = np.argsort(owner, kind="stable")
+        ends = (8 * np.cumsum(np.bincount(owner, minlength=len(whose)))).tolist()
+        raw = pairs[order].astype("<i8").tobytes()
+        for k, start in enumerate([0, *ends[:-1]]):
+            self.known[whose[k]] = (raw[start: ends[k]], written[k], len(a_ids[k]), len(b_ids[k]), int(groups[k]))
+
+    def of(self, texts: list[str]) -> list[list]:
+        """The segments of each text."""
+        parts = [EDGE.split(t) for t in texts]
+        needed = set().union(*parts)
+        fresh = needed.difference(self.known)
+        if len(self.known) + len(fresh) > self.keep:
+            self.known, fresh = {}, needed
+        run, size = [], 0
+        for segment in fresh:
+            run.append(segment)
+            size += len(segment) + 8
+            if size >= self.batch:
+                self._learn(run)
+                run, size = [], 0
+        if run:
+            self._learn(run)
+        return [list(map(self.known.__getitem__, p)) for p in parts]
+
+
+@lru_cache(maxsize=1)
+def segments(a_name: str, b_name: str, keep: int) -> Segments:
+    """The worker's memory."""
+    return Segments(a_name, b_name, keep)
+
+
+def _batches(texts: list[str | None], most: int) -> Iterator[list[int]]:
+    """Places of the texts that are there, in runs of about ``most`` characters."""
+    run, size = [], 0
+    for i, text in enumerate(texts):
+        if text:
+            run.append(i)
+            size += len(text)
+            if size >= most:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
+
+
+def _aligner(a_name: str, b_name: str, chunk_bytes: int, keep: int, batch_bytes: int = 1 << 19):
+    def chunk_rows(chunk: int, ids: list, texts: list[str | None]) -> list[dict]:
+        memory = segments(a_name, b_name, keep)
+        rows = [dict(chunk=chunk, id=i, n_a=0, n_b=0, n_groups=0, n_links=0, groups_sha256="") for i in ids]
+        docs, pairs = [], []
+        for run in _batches(texts, batch_bytes):
+            for place, found in zip(run, memory.of([texts[i] for i in run])):
+                if None in found:
+                    continue
+                raw, written, n_a, n_b, n_groups = zip(*found)
+                pair = np.frombuffer(b"".join(raw), "<i8")
+                rows[place] |= dict(
+                    n_a=sum(n_a), n_b=sum(n_b), n_groups=sum(n_groups), n_links=len(pair),
+                    groups_sha256=hashlib.sha256(";".join(written).encode()).hexdigest())
+                docs.append(np.full(len(pair), place))
+                pairs.append(pair)
+        if not docs:
             return rows
-        at, a_ids, b_ids = zip(*same)
-        (doc, a_place, b_place), groups, written = align(a_ids, b_ids, a, b)
-        a_flat = np.fromiter((i for x in a_ids for i in x), np.int64)
-        b_flat = np.fromiter((i for x in b_ids for i in x), np.int64)
-        pair = a_flat[a_place] << B_BITS | b_flat[b_place]
-        codes, distinct = pd.factorize(pair)
-        links = np.bincount(doc, minlength=len(at))
+        codes, distinct = pd.factorize(np.concatenate(pairs))
+        counts = np.bincount(codes)
         # each document's pairs once, in order of their place in the chunk's list, with their times
-        key = np.sort(doc * len(distinct) + codes)
+        key = np.sort(np.concatenate(docs) * len(distinct) + codes)
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         times = np.diff(np.append(first, len(key))).astype("<u4")
         owner, code = np.divmod(key[first], len(distinct))
+        starts = np.searchsorted(owner, np.arange(len(rows) + 1))
         steps = np.diff(code, prepend=0)
-        starts = np.searchsorted(owner, np.arange(len(at) + 1))
-        steps[starts[:-1]] = code[starts[:-1]]
+        begins = starts[:-1][starts[:-1] < starts[1:]]
+        steps[begins] = code[begins]
         steps = steps.astype("<u4")
-        for k, i in enumerate(at):
-            own = slice(starts[k], starts[k + 1])
-            rows[i] |= dict(
-                n_a=len(a_ids[k]), n_b=len(b_ids[k]), n_groups=int(groups[k]), n_links=int(links[k]),
-                groups_sha256=hashlib.sha256(written[k].encode()).hexdigest(), steps=steps[own].tobytes(),
-                times=times[own].tobytes())
-        rows.append(dict(chunk=chunk, pairs=distinct, counts=np.bincount(codes)))
+        for place in np.unique(owner):
+            own = slice(starts[place], starts[place + 1])
+            rows[place] |= dict(steps=steps[own].tobytes(), times=times[own].tobytes())
+        rows.append(dict(chunk=chunk, pairs=distinct, counts=counts))
         return rows
 
     def slices(batches: Iterator[pa.RecordBatch]):
@@ -243,12 +317,12 @@ def _summed(docs: pa.Table, pairs: pa.Table) -> pa.Table:
 
 def aligned(
     docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", id_col: str = "doc_id",
-    text_col: str = "text", chunk_bytes: int = 4 << 20,
+    text_col: str = "text", chunk_bytes: int = 4 << 20, remember: int = 200_000,
 ) -> tuple[DataFrame, DataFrame]:
     """The aligned documents and the corpus-wide id pairs (a_id, b_id, links, best).
 
-    Whole texts are encoded once, in chunks of about ``chunk_bytes`` (a longer text is a chunk of its
-    own).  A chunk counts its links per id pair before anything is shuffled and keeps each document's pairs as
+    Whole texts are aligned segment by segment (``Segments``), new ones in batches; chunks hold about ``chunk_bytes`` (a longer text is a
+    chunk of its own).  A chunk counts its links per id pair before anything is shuffled and keeps each document's pairs as
     positions in the chunk's list of pairs.  So a pair that every text holds is one row per chunk, links
     are never rows, and what goes back to a chunk is one count for each of its pairs.  ``best`` marks the
     pairs whose links are the most of their b id, ties included; those maxima are at most one row per b id.
@@ -259,7 +333,7 @@ def aligned(
     missing id stays missing, other columns are not read, an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    chunks = settle(rows.mapInArrow(_aligner(a, b, chunk_bytes), ROW_DDL), "aligned-chunks")
+    chunks = settle(rows.mapInArrow(_aligner(a, b, chunk_bytes, remember), ROW_DDL), "aligned-chunks")
     listed = chunks.where("pairs IS NOT NULL")
     totals = settle(
         listed.select(F.explode(F.arrays_zip("pairs", "counts")).alias("of"))
