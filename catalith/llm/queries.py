@@ -1,7 +1,7 @@
 """The registered queries of this folder and their SQL."""
 
 from catalith.llm import (
-    alignment, counting, licences, lines, mixing, neardup, packing, quality, sharding, topk, urls,
+    alignment, counting, jaccard, licences, lines, mixing, neardup, packing, quality, sharding, topk, urls,
     whitening,
 )
 
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_url_filters": urls.op8_url_filters,
     "op9_sharding": sharding.op9_sharding,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_jaccard_join": jaccard.op11_jaccard_join,
     "op12_whitening": whitening.op12_whitening,
     "op13_alignment": alignment.op13_alignment,
 }
