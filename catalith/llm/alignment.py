@@ -177,23 +177,42 @@ class Segments:
     def __init__(self, a_name: str, b_name: str, keep: int, batch: int = 1 << 17):
         self.names, self.keep, self.batch, self.known = (a_name, b_name), keep, batch, {}
 
+    def _encoded(self, segments: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """The segments that both sides spell, with their ids: all as one text, parted at the segments' ends."""
+        sides = [vocabulary(n) for n in self.names]
+        plain = [s for s in segments if s and not s[0].isspace() and s[-1] != " "]
+        joined = " ".join(plain)
+        raw, ends = b" " + joined.encode(), np.cumsum([len(s.encode()) + 1 for s in plain])
+        parts = []
+        for side in sides if plain else ():
+            ids = side.encode([joined])[0]
+            whole = side.spells(ids, raw)
+            ids = np.array(ids, np.int32)
+            until = np.cumsum(side.length[ids])
+            cuts = np.searchsorted(until, ends) + 1
+            if not whole or not np.array_equal(until[cuts - 1], ends):
+                break
+            parts.append([ids[x:y] for x, y in zip([0, *cuts.tolist()], cuts.tolist())])
+        if len(parts) == 2:
+            yield from zip(plain, *parts)
+        done = set(plain) if len(parts) == 2 else set()
+        rest = [s for s in segments if s not in done]
+        for segment, *ids in zip(rest, *[side.encode(rest) for side in sides]) if rest else ():
+            if all(side.spells(i, b" " + segment.encode()) for side, i in zip(sides, ids)):
+                yield segment, *[np.array(i, np.int32) for i in ids]
+
     def _learn(self, segments: list[str]) -> None:
-        a, b = map(vocabulary, self.names)
-        same = []
-        for segment, x, y in zip(segments, a.encode(segments), b.encode(segments)):
-            raw = b" " + segment.encode()
-            self.known[segment] = None
-            if a.spells(x, raw) and b.spells(y, raw):
-                same.append((segment, np.array(x, np.int32), np.array(y, np.int32)))
+        self.known.update(dict.fromkeys(segments))
+        same = list(self._encoded(segments))
         if not same:
             return
         whose, a_ids, b_ids = zip(*same)
         owner, pairs, groups, written = align(a_ids, b_ids, *self.names)
         order = np.argsort(owner, kind="stable")
         ends = (8 * np.cumsum(np.bincount(owner, minlength=len(whose)))).tolist()
-        raw = pairs[order].astype("<i8").tobytes()
+        raw, counts = pairs[order].astype("<i8").tobytes(), groups.tolist()
         for k, start in enumerate([0, *ends[:-1]]):
-            self.known[whose[k]] = (raw[start: ends[k]], written[k], len(a_ids[k]), len(b_ids[k]), int(groups[k]))
+            self.known[whose[k]] = (raw[start: ends[k]], written[k], len(a_ids[k]), len(b_ids[k]), counts[k])
 
     def of(self, texts: list[str]) -> list[list]:
         """The segments of each text."""
@@ -317,7 +336,7 @@ def _summed(docs: pa.Table, pairs: pa.Table) -> pa.Table:
 
 def aligned(
     docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", id_col: str = "doc_id",
-    text_col: str = "text", chunk_bytes: int = 4 << 20, remember: int = 200_000,
+    text_col: str = "text", chunk_bytes: int = 4 << 20, remember: int = 300_000,
 ) -> tuple[DataFrame, DataFrame]:
     """The aligned documents and the corpus-wide id pairs (a_id, b_id, links, best).
 
