@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalith import values
 from catalith.functions import vectors
-from catalith.operators import search
+from catalith.operators import search, vector_index
 from catalith.plans.registry import query
 from catalith.plans.views import view
 
@@ -93,6 +93,16 @@ def approx_topk(spark, sf):
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@query
+def indexed_topk(spark, sf):
+    """About the five nearest neighbours of every fiftieth vector among all, from a written index."""
+    emb = view(spark, sf, "embeddings")
+    found = vector_index.indexed_topk(
+        emb, emb.where(C("vec_id") % 50 == 0), 5, id_col="vec_id", vector="embedding", exclude_self=True,
+        rows_per_list=200)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 @query
 def sample_rows(spark, sf):
     cars = view(spark, sf, "cars")
