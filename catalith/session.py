@@ -59,4 +59,18 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.settled_at = path
+    return written
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove settled tables that nothing will read any more; other tables stay.
+
+    Only for tables whose readers are all written themselves: a lost executor must not need them.
+    """
+    for table in tables:
+        if path := getattr(table, "settled_at", None):
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
