@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalith.operators import aggregate, lookup, quality, ranks, search
+from catalith.session import settle
 
 C = F.col
 
@@ -159,6 +160,28 @@ def test_order_statistics_with_a_hot_group(spark, distinct):
         assert tuple(row)[1:] == (n, values[0], values[n // 10], values[-1])
 
 
+def test_no_window_orders_more_than_the_bound(spark):
+    """A million distinct values between 0 and 1 in one group, next to a small one."""
+    hot = spark.range(1_000_000).select(F.lit("hot").alias("k"), (C("id") / 1_000_003).alias("v"))
+    df = hot.unionByName(spark.createDataFrame([("few", float(i)) for i in range(9)], "k string, v double"))
+    wanted = {"low": lambda n: F.floor(n / 10) + 1, "last": lambda n: n}
+    counted = settle(ranks.count_values(df, ["k"], "v", False), "counted")
+    assert ranks.rank_cells(counted, ["k"], wanted, 5000).agg(F.max("_values")).first()[0] <= 5000
+    got = {r["k"]: tuple(r)[1:] for r in ranks.order_statistics(df, ["k"], "v", wanted, bound=5000).collect()}
+    assert got == {"hot": (1_000_000, 100_000 / 1_000_003, 999_999 / 1_000_003), "few": (9, 0.0, 8.0)}
+
+
+def test_order_statistics_of_any_doubles(spark):
+    """Values of all sizes and signs, ordered in cells of at most two."""
+    rng = random.Random(8)
+    data = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-300, 300) for _ in range(300)]
+    data += [5e-324, -5e-324, 0.0, float("inf"), float("-inf"), 1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0]
+    df = spark.createDataFrame([("a", v) for v in data], "k string, v double")
+    wanted = {f"r{i}": (lambda n, i=i: F.lit(i)) for i in (1, 2, 50, 154, 155, 156, 200, len(data))}
+    got = ranks.order_statistics(df, ["k"], "v", wanted, bound=2).first()
+    assert tuple(got)[2:] == tuple(sorted(data)[int(name[1:]) - 1] for name in wanted)
+
+
 def test_median_matches_statistics(spark):
     rng = random.Random(6)
     data = [(f"g{i % 7}", float(rng.randint(3500, 5500))) for i in range(999)]

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalith.operators import ranks
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +15,6 @@ def plan(spark, name):
 
 
 @pytest.mark.parametrize("name, columns", [
-    ("robust_range", "l_partkey:bigint,l_extendedprice:double"),
     ("norm_years", "p_partkey:bigint,p_size:int"),
     ("mileage_rule", "p_partkey:bigint"),
     ("page_markdown", "page_id:bigint,html:string"),
@@ -27,7 +27,6 @@ def test_only_needed_columns_are_read(spark, name, columns):
 
 @pytest.mark.parametrize("name, pushed", [
     ("row_window", "GreaterThanOrEqual(p_partkey,50), LessThan(p_partkey,150)"),
-    ("robust_range", "GreaterThanOrEqual(l_extendedprice,100.0)"),
     ("query_vector_subquery", "EqualTo(vec_id,1)"),
 ])
 def test_filters_reach_the_scan(spark, name, pushed):
@@ -44,6 +43,13 @@ def test_row_work_needs_no_shuffle(spark, name):
     assert "Exchange hashpartitioning" not in text and "PythonUDF" not in text
 
 
+def test_ranks_read_only_what_they_count(spark):
+    listings = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_extendedprice >= 100")
+    text = ranks.count_values(listings, ["l_partkey"], "l_extendedprice", True)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_partkey:bigint,l_extendedprice:double>" in text
+    assert "GreaterThanOrEqual(l_extendedprice,100.0)" in text
+
+
 def test_top_k_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(spark, "cosine_topk")
     assert "WindowGroupLimit" in plan(spark, "family_rivals")
