@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalith import values
-from catalith.functions.markup import decode, elements
+from catalith.functions.markup import decode, inside, parse, spans
 from catalith.functions.rules import contains_any
 from catalith.functions.text import clean_text, let, text
 
@@ -203,17 +204,25 @@ def html_prices(html: Column, marks: Sequence[str] = values.PRICE_MARKS) -> Colu
     def words(inside: Column) -> Column:
         return decode(F.regexp_replace(inside, "<[^>]+>", ""))
 
+    def in_marks(page: Column, found: Column) -> Column:
+        """Prices of the elements of the first mark, then of the next."""
+        def marked(mark: str) -> Column:
+            return F.filter(found, lambda span: F.get(page["tags"], span["at"]).contains(mark))
+
+        own = F.concat(*map(marked, marks))
+        return F.array_compact(F.transform(own, lambda span: first_price(words(inside(page, span)))))
+
+    def any_mark(source: Column) -> Column:
+        return reduce(Column.__or__, [source.contains(mark) for mark in marks])
+
     def read(source: Column) -> Column:
-        none = F.array().cast("array<string>")
-        marked = F.concat(*[
-            F.when(source.contains(mark), elements(
-                source, None, lambda tag, mark=mark: tag.contains(mark))).otherwise(none)
-            for mark in marks])
-        in_marked = F.array_compact(F.transform(marked, lambda e: first_price(words(e))))
+        walked = let(parse(source), lambda page: let(
+            spans(page, lambda tag, _: any_mark(tag)), lambda found: in_marks(page, found)))
+        in_marked = F.when(any_mark(source), walked).otherwise(F.array().cast("array<double>"))
         chunks = F.filter(
             F.transform(F.split(source, "<[^>]+>"), decode), lambda c: c.contains("£"))
         in_chunks = F.array_compact(F.transform(chunks, first_price))
-        return F.array_distinct(F.when(F.size(in_marked) > 0, in_marked).otherwise(in_chunks))
+        return let(in_marked, lambda prices: F.array_distinct(F.when(F.size(prices) > 0, prices).otherwise(in_chunks)))
 
     return let(text(html), read)
 

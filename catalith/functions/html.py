@@ -8,13 +8,14 @@ end of the page, since pages leave tags unclosed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalith.functions.extract import found
-from catalith.functions.markup import decode, elements, has_class
+from catalith.functions.markup import decode, elements, has_class, inside, parse, spans
 from catalith.functions.text import let, text
 
 BLOCK_END = r"(?i)<(?:br|/p|p|/div|div|/li|/ul|/ol|/h[1-6]|h[1-6]|/tr|/title)\b[^>]*>"
@@ -111,11 +112,15 @@ DEFAULT_FIELDS = (
 )
 
 
-def rule_value(clean: Column, rule: FieldRule) -> Column:
-    wanted = (lambda mark: has_class(mark, rule.token)) if rule.token else None
-    hits = elements(clean, rule.tag, wanted, first=not rule.many)
-    if rule.token:  # most pages hold few of the classes, so the tags are not walked in vain
-        hits = F.when(clean.contains(rule.token), hits).otherwise(F.array().cast("array<string>"))
+def accepts(rule: FieldRule, tag: Column, name: Column) -> Column:
+    own = name == rule.tag.lower()
+    return own & has_class(tag, rule.token) if rule.token else own
+
+
+def rule_value(page: Column, found: Column, rule: FieldRule) -> Column:
+    """The rule's text from the page's elements, all of which are ``found`` already."""
+    own = F.filter(found, lambda span: accepts(rule, F.get(page["tags"], span["at"]), span["name"]))
+    hits = F.transform(own if rule.many else F.slice(own, 1, 1), lambda span: inside(page, span))
     if rule.many:
         value = F.array_join(F.filter(F.transform(hits, inline), lambda h: h != ""), " | ")
     elif rule.tag in ("ul", "ol"):
@@ -128,18 +133,26 @@ def rule_value(clean: Column, rule: FieldRule) -> Column:
 
 
 def fields(html: Column, rules: Sequence[FieldRule] = DEFAULT_FIELDS) -> Column:
-    """array<struct<field,value>>: per field the first rule that yields text."""
+    """array<struct<field,value>>: per field the first rule that yields text.
+
+    The page's tags are read and walked once for all rules.
+    """
     names = list(dict.fromkeys(r.field for r in rules))
+    tags = sorted({r.tag.lower() for r in rules})
 
-    def read(clean: Column) -> Column:
+    def read(page: Column, found: Column) -> Column:
         out = []
         for name in names:
             own = sorted((r for r in rules if r.field == name), key=lambda r: r.order)
-            value = F.coalesce(*[rule_value(clean, r) for r in own])
+            value = F.coalesce(*[rule_value(page, found, r) for r in own])
             out.append(F.struct(F.lit(name).alias("field"), value.alias("value")))
         return F.filter(F.array(*out), lambda s: s["value"].isNotNull())
 
-    return let(strip_noise(html), read)
+    def any_rule(tag: Column, name: Column) -> Column:
+        return reduce(Column.__or__, [accepts(r, tag, name) for r in rules])
+
+    return let(parse(strip_noise(html), tags), lambda page: let(
+        spans(page, any_rule), lambda found: read(page, found)))
 
 
 def field_map(html: Column, rules: Sequence[FieldRule] = DEFAULT_FIELDS) -> Column:

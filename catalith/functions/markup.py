@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -58,6 +58,75 @@ def has_class(tag: Column, token: str) -> Column:
     return tag.rlike(rf"(?s)\s(?i:class)\s*=\s*(?:{quoted}|{word}(?=[\s>]))")
 
 
+def parse(source: Column, names: Sequence[str] | None = None) -> Column:
+    """The tags of a text, their marks ('div', '/div'), and the pieces between them; ``names`` limits the tags."""
+    name = "|".join(map(re.escape, names)) if names else r"[A-Za-z][A-Za-z0-9-]*"
+    pattern = rf"(?is)<(/?(?:{name}))(?=[\s/>])[^>]*>"
+    return F.struct(
+        F.regexp_extract_all(source, F.lit(pattern), F.lit(0)).alias("tags"),
+        F.lower(F.array_join(F.regexp_extract_all(source, F.lit(pattern), F.lit(1)), "\x01")).alias("marks"),
+        F.split(source, pattern, -1).alias("between"))
+
+
+def spans(page: Column, accepted: Callable[[Column, Column], Column], outer: bool = False) -> Column:
+    """array<struct<at,name,until>>: where each accepted element begins and ends, in order of the page.
+
+    ``page`` comes from ``parse`` and ``accepted`` maps an opening tag and its name to a condition.  One pass
+    goes over the tags whose names occur among the accepted ones, with a stack of the accepted elements
+    that are open; each holds how many tags of its name are open within it.  So the work is the tags times
+    the depth to which accepted elements are nested, whatever their number.  What is never closed ends with the text.
+    With ``outer`` no element inside another accepted one is listed.
+    """
+    def entry(mark: Column, i: Column) -> Column:
+        tag = F.get(page["tags"], i)
+        name = F.ltrim(mark, F.lit("/"))
+        opens = ~mark.startswith("/") & ~tag.endswith("/>")
+        step = F.when(mark.startswith("/"), -1).when(opens, 1).otherwise(0)
+        return F.struct(
+            i.alias("i"), name.alias("name"), step.alias("step"), (opens & accepted(tag, name)).alias("ok"))
+
+    held = "array<struct<at:int,name:string,depth:int>>"
+    ended = "array<struct<at:int,name:string,until:int>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        inside = F.size(acc["open"]) > 0
+        moved = F.when(~inside | (x["step"] == 0), acc["open"]).otherwise(F.transform(acc["open"], lambda e: F.struct(
+            e["at"].alias("at"), e["name"].alias("name"),
+            F.when(e["name"] == x["name"], e["depth"] + x["step"]).otherwise(e["depth"]).alias("depth"))))
+        pushed = F.array(F.struct(x["i"].alias("at"), x["name"].alias("name"), F.lit(1).alias("depth")))
+        new = x["ok"] & ~inside if outer else x["ok"]
+
+        def settled(now: Column) -> Column:
+            # only the tag's own name can have ended, and a closing tag opens nothing
+            ends = (x["step"] < 0) & F.exists(now, lambda e: e["depth"] == 0)
+            closed = F.transform(F.filter(now, lambda e: e["depth"] == 0), lambda e: F.struct(
+                e["at"].alias("at"), e["name"].alias("name"), x["i"].alias("until")))
+            return F.struct(
+                F.when(ends, F.filter(now, lambda e: e["depth"] > 0)).when(new, F.concat(now, pushed)).otherwise(now)
+                .alias("open"),
+                F.when(ends, F.concat(acc["done"], closed)).otherwise(acc["done"]).alias("done"))
+
+        return F.when(inside | new, let(moved, settled)).otherwise(acc)
+
+    def walk(steps: Column) -> Column:
+        live = F.array_distinct(F.transform(F.filter(steps, lambda x: x["ok"]), lambda x: x["name"]))
+        return let(live, lambda names: F.aggregate(
+            F.filter(steps, lambda x: F.array_contains(names, x["name"])),
+            F.struct(F.array().cast(held).alias("open"), F.array().cast(ended).alias("done")), step,
+            lambda acc: F.array_sort(F.concat(acc["done"], F.transform(acc["open"], lambda e: F.struct(
+                e["at"].alias("at"), e["name"].alias("name"), F.size(page["tags"]).alias("until")))))))
+
+    return let(F.transform(F.filter(F.split(page["marks"], "\x01"), lambda m: m != ""), entry), walk)
+
+
+def inside(page: Column, span: Column) -> Column:
+    """The text of an element: the pieces and tags between its own tags."""
+    count = span["until"] - span["at"]
+    return F.array_join(F.zip_with(
+        F.slice(page["between"], span["at"] + 2, count), F.slice(page["tags"], span["at"] + 2, count - 1),
+        lambda piece, tag: F.concat(piece, F.coalesce(tag, F.lit("")))), "")
+
+
 def elements(
     source: Column, tag: str | None, wanted: Callable[[Column], Column] | None = None,
     first: bool = False, outer: bool = False,
@@ -67,52 +136,13 @@ def elements(
     ``tag`` names the elements, None means any; ``wanted`` maps an opening tag to a condition.  The
     end is where as many tags of the same name are closed as were opened; an element that is never
     closed runs to the end of the text.  Elements inside accepted ones are listed as well, but not
-    with ``outer``, which lists no element inside another of the name ``tag``; ``first`` lists only
-    the first.  A missing text has no list, an empty one an empty list.
+    with ``outer``; ``first`` lists only the first.  A missing text has no list, an empty one an empty list.
     """
-    name = re.escape(tag) if tag else r"[A-Za-z][A-Za-z0-9-]*"
-    pattern = rf"(?is)</?{name}(?=[\s/>])[^>]*>"
-
-    def named(mark: Column) -> Column:
-        return F.lower(F.regexp_extract(mark, r"^</?([A-Za-z][A-Za-z0-9-]*)", 1))
-
-    def opens(mark: Column) -> Column:
-        return ~mark.startswith("</") & ~mark.endswith("/>")
-
-    def inside(page: Column, at: Column) -> Column:
-        """``at`` counts the tags from 1; the piece behind a tag has the same number from 0."""
-        own = F.lit(tag.lower()) if tag else named(F.get(page["tags"], at - 1))
-        after = F.slice(page["tags"], at + 1, F.size(page["tags"]))
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
-
-        def step(acc: Column, mark: Column) -> Column:
-            same = F.lit(True) if tag else named(mark) == own
-            change = F.when(~same, 0).when(mark.startswith("</"), -1).when(opens(mark), 1).otherwise(0)
-            going = acc["depth"] > 0
-            return F.struct(
-                F.when(going, acc["depth"] + change).otherwise(0).alias("depth"),
-                F.when(going, acc["n"] + 1).otherwise(acc["n"]).alias("n"))
-
-        def cut(end: Column) -> Column:
-            pieces = F.when(end["depth"] > 0, end["n"] + 1).otherwise(end["n"])
-            return F.array_join(F.zip_with(
-                F.slice(page["between"], at + 1, pieces), F.slice(after, 1, pieces - 1),
-                lambda piece, mark: F.concat(piece, F.coalesce(mark, F.lit("")))), "")
-
-        return let(F.aggregate(after, start, step), cut)
+    def accepted(mark: Column, _name: Column) -> Column:
+        return wanted(mark) if wanted else F.lit(True)
 
     def read(page: Column) -> Column:
-        accepted = F.filter(
-            F.transform(page["tags"], lambda mark, i: F.when(
-                opens(mark) & (wanted(mark) if wanted else F.lit(True)), i + 1)),
-            lambda i: i.isNotNull())
-        if outer:
-            accepted = F.filter(accepted, lambda i: let(
-                F.slice(page["tags"], 1, i - 1), lambda before: F.size(F.filter(before, opens))
-                <= F.size(F.filter(before, lambda mark: mark.startswith("</")))))
-        chosen = F.slice(accepted, 1, 1) if first else accepted
-        return F.transform(chosen, lambda at: inside(page, at))
-
-    return let(source, lambda text: let(F.struct(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("tags"),
-        F.split(text, pattern, -1).alias("between")), read))
+        return let(spans(page, accepted, outer), lambda found: F.transform(
+            F.slice(found, 1, 1) if first else found, lambda span: inside(page, span)))
+
+    return F.when(source.isNotNull(), let(parse(source, [tag] if tag else None), read))

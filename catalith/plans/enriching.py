@@ -117,7 +117,7 @@ def pages_to_catalogue(spark, sf):
     out = jobs.catalogue_from_pages(
         view(spark, sf, "review_pages"), language, rows, C("lang"), "page_id"
     )
-    return out.select("doc_id", F.md5("article").alias("article_md5"), "pros", "cons")
+    return out.select("doc_id", F.md5("article").alias("article_md5"), "pros", "cons", "rivals")
 
 
 @query

@@ -95,7 +95,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "review_pages": ("pages", (
         "page_id",
         "url",
-        'replace(replace(html, \'<br><p>\', \'</p><h2>Overview</h2><p>\'), \'</article>\',   concat(\'<h2>Pros &amp; cons</h2><ul class="pros"><li>roomy</li><li>quiet \', cast(page_id AS string), \'</li></ul><ul class="cons"><li>firm ride</li></ul></article>\')) AS html',
+        'replace(replace(html, \'<br><p>\', \'</p><h2>Overview</h2><p>\'), \'</article>\',   concat(\'<h2>Pros &amp; cons</h2><ul class="pros"><li>roomy</li><li>quiet \', cast(page_id AS string), \'</li></ul><ul class="cons"><li>firm ride</li></ul>\', CASE WHEN page_id % 3 = 0 THEN concat(\'<div class="wide glance box"><div class="row">Doors <b>\', cast(2 + page_id % 4 AS string), \'</b></div><div>Seats <div>4</div></div> in all</div>\') ELSE \'\' END, CASE WHEN page_id % 5 < 2 THEN concat(\'<a class="rival-review-card big" href="/a">Ford <b>Ka</b> \', cast(page_id % 9 AS string), \'</a> <a class="rival-review-card">Mini</a>\') ELSE \'\' END, \'</article>\', CASE WHEN page_id % 4 = 1 THEN \'<article><p>Second opinion <article>inner</article> after</p></article>\' ELSE \'\' END)) AS html',
     )),
     "scored_texts": ("documents", (
         "doc_id",
@@ -125,11 +125,13 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     )),
     "price_pages": ("part", (
         "p_partkey AS car_id",
-        "CASE p_size % 3 WHEN 0 THEN concat('<div><span class=\"vehicle-price\"><b>£',"
+        "CASE WHEN p_size % 5 = 4 THEN concat('<div class=\"vehicle-price\"><div>Now</div><b>£', cast(p_size AS string),"
+        " ',500</b><div>was <div class=\"vehicle-price\">£', cast(100 + p_partkey % 900 AS string),"
+        " '</div></div></div><p>£3</p>') WHEN p_size % 3 = 0 THEN concat('<div><span class=\"vehicle-price\"><b>£',"
         " cast(p_size AS string), ',', cast(100 + p_partkey % 900 AS string),"
         " '</b></span><span class=\"vehicle-price\">£ 9,500 was £9,900</span>"
         "<p>£1</p><span data-testid=\"advert-price\">£8,250</span></div>')"
-        " WHEN 1 THEN concat('<p>from £', cast(p_size AS string), ',500 to £99,000</p><p>£',"
+        " WHEN p_size % 3 = 1 THEN concat('<p>from £', cast(p_size AS string), ',500 to £99,000</p><p>£',"
         " cast(p_partkey AS string), '</p><p>£', cast(p_partkey AS string), '</p>')"
         " ELSE concat('<p>', p_name, '</p>') END AS html",
     )),

@@ -3,7 +3,7 @@
 from oracles.classifying import missing
 from oracles.combining import PRICE_KEY
 from oracles.common import norm, number, views
-from oracles.extracting import PAGES, to_lines
+from oracles.extracting import PAGES, RIVAL_CARDS, to_lines
 from oracles.normalising import SQL as NORMALISING
 
 SPECS_STRING = NORMALISING["specs_string"]
@@ -84,14 +84,16 @@ SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'""",
     "pages_to_catalogue": PAGES + f"""
 , e AS (
   SELECT p.page_id, regexp_extract(p.url, '//[^/]*/([a-z]+)/', 1) AS k,
-    array_to_string({to_lines("replace(a, '<li>', '<p>')")}, ' ') AS article,
+    array_to_string({to_lines("replace(first_article, '<li>', '<p>')")}, ' ') AS article,
     regexp_replace(array_to_string({to_lines(PROS)}, ' | '), '(^|[|] )- ', '\\1', 'g') AS pros,
-    regexp_replace(array_to_string({to_lines(CONS)}, ' | '), '(^|[|] )- ', '\\1', 'g') AS cons
+    regexp_replace(array_to_string({to_lines(CONS)}, ' | '), '(^|[|] )- ', '\\1', 'g') AS cons,
+    {RIVAL_CARDS} AS rivals
   FROM c3 JOIN art ON c3.page_id = art.page_id JOIN pages p ON p.page_id = art.page_id),
 b AS (
-  SELECT k, {best('article')} AS article, {best('pros')} AS pros, {best('cons')} AS cons
+  SELECT k, {best('article')} AS article, {best('pros')} AS pros, {best('cons')} AS cons,
+    {best('rivals')} AS rivals
   FROM e GROUP BY k)
-SELECT doc_id, md5(article) AS article_md5, pros, cons FROM documents LEFT JOIN b ON lang = k""",
+SELECT doc_id, md5(article) AS article_md5, pros, cons, rivals FROM documents LEFT JOIN b ON lang = k""",
     "price_gaps": views("cars") + f"""
 , k AS (SELECT *, {PRICE_KEY} AS fid FROM cars),
 w AS (SELECT DISTINCT fid FROM k WHERE trim(price_low) = ''),

@@ -49,7 +49,12 @@ PAGES = views("review_pages") + r"""
 , c1 AS (SELECT page_id, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') AS h FROM review_pages),
 c2 AS (SELECT page_id, regexp_replace(h, '(?is)<script\b[^>]*>.*?</script>', '', 'g') AS h FROM c1),
 c3 AS (SELECT page_id, regexp_replace(h, '(?is)<style\b[^>]*>.*?</style>', '', 'g') AS h FROM c2),
-art AS (SELECT page_id, regexp_extract(h, '(?s)<article>(.*?)</article>', 1) AS a FROM c3) """
+art AS (
+  -- some pages have a second article with one inside it
+  SELECT page_id, regexp_extract(h, '(?s)<article>(.*?)</article>', 1) AS first_article,
+    first_article || CASE WHEN contains(h, 'Second opinion') THEN
+      '<p>' || regexp_extract(h, '(?s)<article>(<p>Second opinion.*?</article>.*?)</article>', 1) ELSE '' END AS a
+  FROM c3) """
 
 
 def to_lines(x: str) -> str:
@@ -68,6 +73,10 @@ def to_lines(x: str) -> str:
     )
 
 
+RIVAL_CARDS = r"""array_to_string(list_transform(
+      regexp_extract_all(first_article, '<a class="rival-review-card[^"]*"[^>]*>(.*?)</a>', 1),
+      lambda x: regexp_replace(x, '<[^>]*>', '', 'g')), ' | ')"""
+
 SQL = {
     "glance_fields": views("glance") + f"""
 SELECT car_id, {plain(G, pounds(NEW))} AS new_price_min, {plain(G, pounds(NEW), 2)} AS new_price_max,
@@ -167,30 +176,34 @@ SELECT page_id, array_to_string({to_lines('b')}, chr(10) || chr(10)) AS markdown
     "page_fields": PAGES + f"""
 , e AS (
   SELECT c3.page_id, regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1) AS h1,
-    regexp_extract(h, '(?s)<title>(.*?)</title>', 1) AS title, replace(a, '<li>', '<p>') AS a,
+    regexp_extract(h, '(?s)<title>(.*?)</title>', 1) AS title, replace(first_article, '<li>', '<p>') AS a,
+    regexp_extract(h, '(?s)<div class="wide glance box">(.*?</div>.*?</div></div>.*?)</div>', 1) AS glance,
     regexp_extract(h, '(?s)<ul class="pros">(.*?)</ul>', 1) AS pros,
     regexp_extract(h, '(?s)<ul class="cons">(.*?)</ul>', 1) AS cons,
-    regexp_extract(h, '(?s)<div class="ad">(.*?)</div>', 1) AS ad
+    regexp_extract(h, '(?s)<div class="ad">(.*?)</div>', 1) AS ad,
+    {RIVAL_CARDS} AS rivals
   FROM c3 JOIN art ON c3.page_id = art.page_id),
 f AS (
-  SELECT page_id, unnest(['title', 'article', 'pros', 'cons', 'note']) AS field,
+  SELECT page_id, unnest(['title', 'article', 'glance', 'pros', 'cons', 'note', 'rivals']) AS field,
     unnest([array_to_string({to_lines("coalesce(nullif(h1, ''), title)")}, ' '),
-      array_to_string({to_lines('a')}, ' '),
+      array_to_string({to_lines('a')}, ' '), array_to_string({to_lines('glance')}, ' '),
       regexp_replace(array_to_string({to_lines('pros')}, ' | '), '(^|[|] )- ', '\\1', 'g'),
       regexp_replace(array_to_string({to_lines('cons')}, ' | '), '(^|[|] )- ', '\\1', 'g'),
-      array_to_string({to_lines('ad')}, ' ')]) AS value
+      array_to_string({to_lines('ad')}, ' '), rivals]) AS value
   FROM e)
 SELECT page_id, field, value FROM f
 WHERE value <> '' AND (field NOT IN ('pros', 'cons') OR len(value) > 5)""",
     "html_prices": views("price_pages") + r"""
 , m AS (
   SELECT car_id, html, list_concat(
+    regexp_extract_all(html, '<div class="vehicle-price"><div>Now</div>.*</div></div></div>'),
+    regexp_extract_all(html, '<div class="vehicle-price">£[^<]*</div>'),
     regexp_extract_all(html, '<span class="vehicle-price">.*?</span>'),
     regexp_extract_all(html, '<span data-testid="advert-price">.*?</span>')) AS marked
   FROM price_pages),
 o AS (
-  -- adverts come before the price class
-  SELECT car_id, CASE WHEN len(marked) > 0
+  -- adverts come before the price class; an element inside another follows it
+  SELECT car_id, CASE WHEN contains(html, '<div>Now</div>') THEN marked WHEN len(marked) > 0
     THEN list_concat(marked[3:], marked[1:2])
     ELSE list_filter(regexp_split_to_array(html, '<[^>]+>'), lambda x: contains(x, '£')) END AS c
   FROM m),

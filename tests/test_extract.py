@@ -1,5 +1,7 @@
 """Extraction from texts, answers and pages."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +189,19 @@ def test_page_fields(one):
     assert "cons" not in got and "rivals" not in got
     untitled = {f["field"]: f["value"] for f in one(html.fields(C("s")), s="<title>A</title>")}
     assert untitled == {"title": "A"}
+
+
+def test_nested_elements_of_several_names(one):
+    page = '<a class="m">1<div class="m">2<a>3</a></div>4</a><div class="m"/><div class="m">5<a class="m">6</div>7'
+    marked = lambda mark: markup.has_class(mark, "m")
+    assert one(markup.elements(C("s"), None, marked), s=page) == [
+        '1<div class="m">2<a>3</a></div>4', "2<a>3</a>", '5<a class="m">6', "6</div>7"]
+
+
+def test_one_pass_over_many_tags(one):
+    """20,000 tags, half of them opening accepted elements, in nested groups of five."""
+    group = '<div class="ad">x' * 5 + "</div>" * 5
+    start = time.time()
+    found = one(markup.elements(C("s"), "div", lambda mark: markup.has_class(mark, "ad")), s=group * 2000)
+    assert len(found) == 10_000 and found[0] == group[len('<div class="ad">'):-len("</div>")] and found[-1] == "x"
+    assert time.time() - start < 20  # a walk per element took minutes
