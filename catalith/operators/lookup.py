@@ -9,8 +9,9 @@ measured size of the lookup.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.functions.extract import boilerplate
@@ -49,12 +50,45 @@ def best_text(
     return F.coalesce(F.max_by(value, F.when(is_filled(value), rank)), F.lit(""))
 
 
+def _wide(x: Column | int) -> Column:
+    return (F.lit(Decimal(x)) if isinstance(x, int) else x).cast("decimal(38,0)")
+
+
+def _text_rank(value: Column, order: Column) -> Column:
+    """The order of ``best_text`` as one number, missing for a blank text: clean, length, early.
+
+    A number of fixed width is combined in a hash map, where a struct or the text itself would be sorted.
+    """
+    clean = F.when(boilerplate(value), 0).otherwise(1)
+    rank = _wide(clean) * _wide(10**30) + _wide(F.length(strip(value))) * _wide(10**20) + (_wide(10**19) - _wide(order))
+    return F.when(is_filled(value), rank)
+
+
 def best_texts(
     df: DataFrame, key: Column, columns: Sequence[str], order: str, key_name: str = "join_key"
 ) -> DataFrame:
-    return df.groupBy(key.alias(key_name)).agg(
-        *[best_text(F.col(c), F.col(order)).alias(c) for c in columns]
-    )
+    """Per key the best text of each column (``best_text``); ``order`` must be a whole number.
+
+    Only ranks are aggregated.  The winners' rows are fetched afterwards, so no other text is shuffled or
+    sorted, and the rank says from which row each winner came.
+    """
+    rows = df.select(key.alias(key_name), F.col(order).cast("bigint").alias("_order"), *columns)
+    ranks = {c: f"_rank_{c}" for c in columns}
+    best = settle(
+        rows.select(key_name, *[_text_rank(F.col(c), F.col("_order")).alias(r) for c, r in ranks.items()])
+        .groupBy(key_name).agg(*[F.max(r).alias(r) for r in ranks.values()]), "best-ranks")
+    place = [(_wide(10**19) - F.col(r) % _wide(10**20)).cast("bigint") for r in ranks.values()]
+    winners = settle(
+        best.select(key_name, *ranks.values(), F.explode(F.array_distinct(F.array_compact(F.array(*place)))).alias("_order")),
+        "best-rows")
+    fetched = settle(rows.join(winners, [key_name, "_order"]), "best-texts")
+    out = best.select(key_name)
+    for c, r in ranks.items():
+        same = Window.partitionBy(key_name).orderBy(F.xxhash64(c))  # rows that share key, order and rank
+        own = fetched.where(_text_rank(F.col(c), F.col("_order")) == F.col(r)).select(
+            key_name, F.col(c).alias(f"_best_{c}"), F.row_number().over(same).alias("_n")).where("_n = 1").drop("_n")
+        out = out.join(own.withColumnRenamed(key_name, "_key"), out[key_name].eqNullSafe(F.col("_key")), "left").drop("_key")
+    return out.select(key_name, *[F.coalesce(f"_best_{c}", F.lit("")).alias(c) for c in columns])
 
 
 def join_lookup(

@@ -35,6 +35,24 @@ def test_best_text(texts):
         assert got["d"].startswith("Follow")
 
 
+def test_best_texts_are_fetched_late(spark):
+    """Ranks are combined in hash maps; the texts are neither sorted nor aggregated, and only winners travel."""
+    rows = [(i, f"k{i % 3}", f"text {i % 7} " + "x" * (i % 11), "y" * (i % 5) or None) for i in range(200)]
+    rows += [(500, "k0", "z" * 40, "short"), (500, "k0", "z" * 30, "the longer one of its row")]
+    df = spark.createDataFrame(rows, "i bigint, k string, t string, u string")
+    best = lookup.best_texts(df, C("k"), ["t", "u"], "i")
+    got = {r["join_key"]: (r["t"], r["u"]) for r in best.collect()}
+    plain = {}
+    for key in ("k0", "k1", "k2"):
+        own = [r for r in rows if r[1] == key]
+        plain[key] = tuple(
+            max((r for r in own if r[c]), key=lambda r: (len(r[c].strip()), -r[0]))[c] for c in (2, 3))
+    assert got == plain
+    rank = df.groupBy("k").agg(F.max(lookup._text_rank(C("t"), C("i"))))
+    for plan in (best._jdf.queryExecution().executedPlan().toString(), rank._jdf.queryExecution().executedPlan().toString()):
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_best_text_join_overwrites_with_blank(spark, texts):
     rows = spark.createDataFrame([(1, " B ", "own"), (2, "zz", "own")], "i bigint, k string, t string")
     args = (rows, C("k"), texts, C("k"), ["t"], "i")
