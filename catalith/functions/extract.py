@@ -38,19 +38,27 @@ def _valid(col: Column) -> Column:
     return let(clean_text(col), lambda c: F.when(~c.isin("", "&"), c))
 
 
-def _valid_on_page(col: Column) -> Column:
-    bounds = (values.PAGE_MIN_CHARS + 1, values.PAGE_MAX_CHARS - 1)
-    return let(_valid(col), lambda c: F.when(F.length(c).between(*bounds), c))
+def _valid_on_page(col: Column, longer_than: int, shorter_than: int | None) -> Column:
+    def fits(c: Column) -> Column:
+        enough = F.length(c) > longer_than
+        return enough if shorter_than is None else enough & (F.length(c) < shorter_than)
+
+    return let(_valid(col), lambda c: F.when(fits(c), c))
 
 
 def pros_cons(
     combined: Column, pros: Column, cons: Column, page: Column,
+    longer_than: int = values.PAGE_MIN_CHARS, shorter_than: int | None = values.PAGE_MAX_CHARS,
 ) -> tuple[Column, Column]:
-    """Combined section, then the separate sections, then synonyms on the page."""
+    """Combined section, then the separate sections, then synonyms on the page.
+
+    What a synonym finds on the page counts only within the two bounds, as a match of one word may run to
+    the page's end; it is taken whole or not at all.  ``shorter_than=None`` takes any length.
+    """
     def cascade(section: str, own: Column, synonyms: Sequence[tuple[str, str]]) -> Column:
         def on_page(p: Column) -> Column:
             return F.coalesce(*[
-                F.when(p["lower"].contains(word), _valid_on_page(found(p["page"], pattern)))
+                F.when(p["lower"].contains(word), _valid_on_page(found(p["page"], pattern), longer_than, shorter_than))
                 for word, pattern in synonyms
             ])
 
@@ -120,19 +128,23 @@ def _walk(source: Column, matches: Column, describe) -> Column:
     return F.aggregate(matches, start, step)["out"]
 
 
-def parse_rivals(rivals: Column, dedupe: bool = True, limit: int = values.RIVAL_LIMIT) -> Column:
+def parse_rivals(
+    rivals: Column, dedupe: bool = True, limit: int = values.RIVAL_LIMIT,
+    context_chars: int | None = values.RIVAL_CONTEXT_CHARS, name_chars: int | None = values.RIVAL_NAME_CHARS,
+) -> Column:
     """array<struct<name,rating,context>> of the first rivals named in the text.
 
     'Name: 4.5/5' entries first; without any, names in front of web addresses.
-    The context is what follows the next ':' up to '|' within a short tail; a
-    tail that is a web address gives no context.
+    The context is what follows the next ':' up to '|' within the next ``context_chars``
+    characters; a tail that is a web address gives no context.  A name in front of an address begins at most
+    ``name_chars`` before it.  None lifts either bound.
     """
     source = text(rivals)
     entries = F.regexp_extract_all(source, F.lit(values.RIVAL_RATING), F.lit(0))
     urls = F.regexp_extract_all(source, F.lit(r"https?://\S+"), F.lit(0))
 
     def rated(match: Column, rest: Column, _before: Column) -> Column:
-        tail = F.left(rest, F.lit(values.RIVAL_CONTEXT_CHARS))
+        tail = rest if context_chars is None else F.left(rest, F.lit(context_chars))
         context = F.btrim(F.regexp_extract(tail, values.RIVAL_CONTEXT, 1))
         return F.struct(
             F.btrim(F.regexp_extract(match, values.RIVAL_RATING, 1)).alias("name"),
@@ -141,8 +153,8 @@ def parse_rivals(rivals: Column, dedupe: bool = True, limit: int = values.RIVAL_
         )
 
     def linked(_match: Column, _rest: Column, before: Column) -> Column:
-        first = F.greatest(before - values.RIVAL_NAME_CHARS, F.lit(0)) + 1
-        head = F.substr(source, first, F.least(before, F.lit(values.RIVAL_NAME_CHARS)))
+        reach = before if name_chars is None else F.least(before, F.lit(name_chars))
+        head = F.substr(source, before - reach + 1, reach)
         return F.struct(
             F.btrim(F.regexp_extract(head, values.RIVAL_NAME_BEFORE_URL, 1)).alias("name"),
             F.lit("").alias("rating"),

@@ -25,25 +25,29 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, null, nan text, blank, zero, negative, distinct, min, max.
 
-    Cells are counted per (column, value) first, so the exact distinct count
-    needs no per-column set and a frequent value shrinks before the shuffle.
+    Cells are counted per (column, digest of the value) first, so the exact distinct count needs no
+    per-column set, a frequent value shrinks before the shuffle, and no text is shuffled: a row there
+    is a 128-bit digest, a count, the number and what kind of value it is, whatever the cell's length.
     """
-    counted = long_form(df, columns).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    num, n = number(F.col("value")), F.col("n")
+    value = F.col("value")
+    kind = F.when(F.lower(value) == "nan", 1).when(value == "", 2).otherwise(0)
+    cells = long_form(df, columns).select(
+        "column", F.unhex(F.md5(value.cast("binary"))).alias("digest"), kind.alias("kind"), number(value).alias("number"))
+    counted = cells.groupBy("column", "digest").agg(
+        F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind"), F.max("number").alias("number"))
+    num, n = F.col("number"), F.col("n")
 
     def rows_where(cond: Column) -> Column:
         return F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("bigint")
 
     return counted.groupBy("column").agg(
         F.sum("n").alias("rows"),
-        rows_where(F.col("value").isNull()).alias("nulls"),
-        rows_where(F.lower("value") == "nan").alias("nan_texts"),
-        rows_where(F.col("value") == "").alias("blanks"),
+        rows_where(F.col("digest").isNull()).alias("nulls"),
+        rows_where(F.col("kind") == 1).alias("nan_texts"),
+        rows_where(F.col("kind") == 2).alias("blanks"),
         rows_where(num == 0).alias("zeros"),
         rows_where(num < 0).alias("negatives"),
-        F.count("value").alias("distinct_values"),
+        F.count("digest").alias("distinct_values"),
         F.min(num).alias("min_number"),
         F.max(num).alias("max_number"),
     )

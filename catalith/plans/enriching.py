@@ -98,15 +98,18 @@ def embed_batches(spark, sf):
 
 @query
 def resume_incremental(spark, sf):
-    """Events appended by a stream that runs until all files are done, twice."""
+    """Events that arrive in two overlapping parts, and a third run that finds nothing new."""
     base = shared_folder(spark, "resume")
-    schema = view(spark, sf, "events").schema
-    for _ in range(2):
+    events = view(spark, sf, "events")
+    for part in (C("event_id") % 3 != 0, C("event_id") % 3 != 1, None):
+        if part is not None:
+            events.where(part).write.mode("append").parquet(f"{base}/in")
         incremental.resume(
-            spark, sf, schema, f"{base}/out", f"{base}/checkpoint", "event_id",
-            lambda df: df.where(C("event_type") != "error"), pattern="events.parquet",
+            spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/checkpoint", "event_id",
+            lambda df: df.where(C("event_type") != "error"),
         )
-    return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
+    written = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out")
+    return written.select("event_id", "user_id", "event_type", C("batch_id").cast("int").alias("batch_no"))
 
 
 @query

@@ -48,7 +48,7 @@ def parse_rivals(spark, sf):
     rows = view(spark, sf, "rivals").select(
         "car_id", F.posexplode(extract.parse_rivals(C("rivals_text"))).alias("place", "rival")
     )
-    return rows.select("car_id", "place", "rival.name", "rival.rating")
+    return rows.select("car_id", "place", "rival.name", "rival.rating", "rival.context")
 
 
 @query
@@ -57,9 +57,7 @@ def rival_columns(spark, sf):
         "list", extract.parse_rivals(C("rivals_text"), dedupe=False)
     )
     columns = extract.rival_columns(C("list"))
-    return found.select("car_id", *[
-        c.alias(n) for n, c in columns.items() if not n.endswith("_context")
-    ])
+    return found.select("car_id", *[c.alias(n) for n, c in columns.items()])
 
 
 @query

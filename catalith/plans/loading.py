@@ -32,7 +32,8 @@ def staged(spark, sf):
     """Catalogue rows with two vector texts, some missing or empty."""
     vec = F.concat(F.lit("["), C("seats"), F.lit(",0.5]"))
     return view(spark, sf, "cars").select(
-        "car_id", "make", "model", "year_end", "doors", "power_bhp",
+        "car_id", "make", "model", "year_end",
+        F.when(C("car_id") % 17 == 5, "99999999999").otherwise(C("doors")).alias("doors"), "power_bhp",
         F.when(C("car_id") % 6 == 0, F.lit(None)).when(C("car_id") % 6 == 1, "").otherwise(vec)
         .alias("vector_main_text"),
         F.when(C("car_id") % 10 == 3, "[]").otherwise(vec).alias("vector_specs_text"),
@@ -47,7 +48,7 @@ VECTOR_TEXTS = ["vector_main_text", "vector_specs_text"]
 def scan_text_table(spark, sf):
     """Part through a CSV file, every column as text."""
     path = shared_folder(spark, "scan-text")
-    part = tables.as_text(view(spark, sf, "part").drop("p_retailprice"))
+    part = tables.as_text(view(spark, sf, "part"))
     tables.write_quoted_csv(part, path)
     return tables.scan_text_csv(spark, path, part.columns)
 
@@ -124,19 +125,19 @@ def load_full_refresh(spark, sf):
     rows = staged(spark, sf).join(
         view(spark, sf, "rival_lists").select("car_id", "rivals_json"), "car_id"
     )
-    loaded, rejected = loading.full_refresh(
-        rows, VECTOR_TEXTS, INTS, "rivals_json", "array<struct<name:string,context:string>>"
-    )
     path = shared_folder(spark, "refresh")
-    loading.write_full_refresh(loaded, rejected, path)
-    good = spark.read.parquet(f"{path}/loaded").select(
+    judged = loading.full_refresh(rows, VECTOR_TEXTS, INTS, "rivals_json")
+    for part in (judged.limit(0), judged):  # an empty version is published first and then replaced
+        loading.write_full_refresh(part, path)
+    loaded, rejected = loading.read_full_refresh(spark, path)
+    rivals = F.from_json(F.to_json("rivals_json"), "array<struct<name:string>>")
+    good = loaded.select(
         "car_id", C("doors").cast("string"), C("power_bhp").cast("string"),
-        F.size("rivals_json").cast("string").alias("rivals"),
+        F.size(rivals).cast("string").alias("rivals"),
+        F.try_variant_get("rivals_json", "$[0].context", "string").alias("context"),
         F.size("vector_specs").cast("string").alias("specs_size"), F.lit(0).alias("reasons"),
     )
-    bad = spark.read.parquet(f"{path}/rejected").select(
-        "car_id", F.size("reasons").alias("reasons")
-    )
+    bad = rejected.select("car_id", F.size("reasons").alias("reasons"), C("doors").alias("raw_doors"))
     return good.unionByName(bad, allowMissingColumns=True)
 
 

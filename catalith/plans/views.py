@@ -61,7 +61,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "rivals": ("part", (
         "p_partkey AS car_id",
         "CASE WHEN p_size % 7 = 0 THEN ''"
-        " ELSE concat('MINI Cooper S: 4.5/5 | https://www.example.com/mini/', ' | ', p_name, ': ', cast(1 + p_size % 4 AS string), '.0/5 | ', 'mini cooper s: 3.0/5')"
+        " ELSE concat('MINI Cooper S: 4.5/5 | https://www.example.com/mini/', ' | ', p_name, ': ', cast(1 + p_size % 4 AS string), '.0/5 (verdict): costs ', cast(p_size AS string), ' less | ', 'mini cooper s: 3.0/5')"
         " END AS rivals_text",
     )),
     "descriptions": ("documents", (

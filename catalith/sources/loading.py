@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalith import values
@@ -13,8 +13,9 @@ from catalith.functions.text import text
 
 
 def whole_or_blank(col: Column) -> Column:
+    """Blank, or digits that fit an int; a number beyond that is no clean number."""
     own = text(col)
-    return (own == "") | own.rlike(values.DIGITS_PATTERN)
+    return (own == "") | (own.rlike(values.DIGITS_PATTERN) & own.try_cast("int").isNotNull())
 
 
 def has_vector(col: Column) -> Column:
@@ -27,7 +28,7 @@ def strict_int(col: Column) -> Column:
 
 
 def lenient_int(col: Column) -> Column:
-    """Digits to int, anything else to NULL."""
+    """Digits to int, anything else and digits beyond an int to NULL."""
     return F.when(text(col).rlike(values.DIGITS_PATTERN), col.try_cast("int"))
 
 
@@ -58,15 +59,16 @@ def _typed(df: DataFrame, vector_cols: Sequence[str], ints: dict[str, Column]) -
 
 def full_refresh(
     df: DataFrame, vector_cols: Sequence[str], int_cols: Sequence[str], json_col: str,
-    json_schema: str,
-) -> tuple[DataFrame, DataFrame]:
-    """(loaded, rejected): a value that cannot be typed sends its row to the rejects.
+) -> DataFrame:
+    """All rows typed and judged: ``rejected`` rows have a value that cannot be typed.
 
-    Where a database load would abort, the rejects carry the reasons.
+    Where a database load would abort, ``reasons`` says why and ``raw`` keeps the rejected row's own
+    texts.  JSON becomes a variant, so whatever keys a value has survive; single-quoted lists are read too.
     """
-    given = {c: F.nullif(text(F.col(c)), F.lit("")) for c in (*int_cols, json_col, *vector_cols)}
+    typed_from = [*int_cols, json_col, *vector_cols]
+    given = {c: F.nullif(text(F.col(c)), F.lit("")) for c in typed_from}
     typed = {c: given[c].try_cast("int") for c in int_cols}
-    typed[json_col] = F.from_json(given[json_col], json_schema)
+    typed[json_col] = F.from_json(given[json_col], "variant")
     typed.update({c: vectors.parse(given[c]) for c in vector_cols})
     complaints = {json_col: "not JSON"} | {c: "not a vector" for c in vector_cols}
     # typed once, then judged and used
@@ -78,17 +80,54 @@ def full_refresh(
         )
         for c in typed
     ]
-    checked = staged.withColumn("reasons", F.array_compact(F.array(*reasons)))
-    final = {
-        (c.removesuffix("_text") if c in vector_cols else c): F.col(f"_typed_{c}") for c in typed
-    }
-    helpers = [f"_typed_{c}" for c in typed]
-    loaded = checked.where(F.size("reasons") == 0).withColumns(final).drop("reasons", *helpers)
-    rejected = checked.where(F.size("reasons") > 0).drop(*helpers)
-    return loaded, rejected
+    judged = staged.withColumn("reasons", F.array_compact(F.array(*reasons))).withColumn(
+        "rejected", F.size("reasons") > 0)
+    others = [c for c in df.columns if c not in typed_from]
+    final = [F.col(f"_typed_{c}").alias(c.removesuffix("_text") if c in vector_cols else c) for c in typed]
+    raw = F.when(F.col("rejected"), F.struct(*typed_from)).alias("raw")
+    return judged.select(*others, *final, raw, "reasons", "rejected")
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions of a table, oldest first; a write that failed has left none."""
+    place, files = _folder(spark, path)
+    if not files.exists(place):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(place)]
+    done = [n for n in names if files.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0])]
+    return sorted(int(n.removeprefix("version=")) for n in done if n.startswith("version="))
 
-def write_full_refresh(loaded: DataFrame, rejected: DataFrame, path: str) -> None:
-    """Overwrite the table and its reject table."""
-    loaded.write.mode("overwrite").parquet(f"{path}/loaded")
-    rejected.write.mode("overwrite").parquet(f"{path}/rejected")
+
+def write_full_refresh(judged: DataFrame, path: str, keep: int = 2) -> int:
+    """Write loaded and rejected rows in one pass as the table's next version, and give its number.
+
+    Readers take the latest complete version.  It becomes complete with the marker that is written after all
+    files of both parts, so until then, and if the job fails, they see the version before.  The last
+    ``keep`` versions stay, for readers that have begun.
+    """
+    spark = judged.sparkSession
+    number = max(versions(spark, path), default=0) + 1
+    # one write: nothing is computed a second time for the rejects
+    judged.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").partitionBy(
+        "rejected").parquet(f"{path}/version={number}")
+    for old in versions(spark, path)[:-keep]:
+        place, files = _folder(spark, f"{path}/version={old}")
+        files.delete(place, True)
+    return number
+
+
+def read_full_refresh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(loaded, rejected) of the latest complete version."""
+    number = max(versions(spark, path))
+    rows = spark.read.parquet(f"{path}/version={number}")
+    kept = F.col("rejected").cast("string") == "false"  # a folder's name, so only one part is read
+    loaded = rows.where(kept).drop("raw", "reasons", "rejected")
+    typed = [c for f in rows.schema["raw"].dataType.names for c in (f, f.removesuffix("_text")) if c in rows.columns]
+    rejected = rows.where(~kept).select(
+        *[c for c in rows.columns if c not in {*typed, "raw", "reasons", "rejected"}], "raw.*", "reasons")
+    return loaded, rejected

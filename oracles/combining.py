@@ -149,7 +149,8 @@ FROM r GROUP BY value""",
     "vector_profile": """
 WITH c AS (
   SELECT 'good' AS "column", len(embedding) AS dimension,
-    sqrt(list_inner_product(embedding::double[], embedding::double[])) AS norm, 0 AS chars
+    sqrt(list_inner_product(embedding::double[], embedding::double[])) AS norm,
+    len(array_to_string(list_transform(embedding, lambda x: x::DOUBLE::DECIMAL(9,6)), ',')) + 2 AS chars
   FROM embeddings
   UNION ALL
   SELECT 'mixed', CASE WHEN vec_id % 5 <> 0 THEN 2 ELSE -1 END,

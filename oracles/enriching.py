@@ -80,7 +80,8 @@ SELECT doc_id, {', '.join(
     f'round(cast(cast(v[{i + 1}] / n AS float) AS double), 4) AS x{i}' for i in range(6))}
 FROM n""",
     "resume_incremental": """
-SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'""",
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS batch_no
+FROM events WHERE event_type <> 'error'""",
     "pages_to_catalogue": PAGES + f"""
 , e AS (
   SELECT p.page_id, regexp_extract(p.url, '//[^/]*/([a-z]+)/', 1) AS k,

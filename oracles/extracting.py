@@ -45,6 +45,13 @@ def synonyms(pairs) -> str:
 
 RATED = r"([A-Za-z0-9][A-Za-z0-9\-&'' ]+)\s*:\s*([\d.]+)/5"
 
+def tail_context(source: str, match: str) -> str:
+    """What follows the next colon within 120 characters behind a match, up to a bar; '' for an address."""
+    tail = f"substr({source}, strpos({source}, {match}) + len({match}), 120)"
+    context = rf"trim(regexp_extract({tail}, '\)?:\s*([^|]+)', 1))"
+    return f"CASE WHEN starts_with({context}, '//') THEN '' ELSE {context} END"
+
+
 PAGES = views("review_pages") + r"""
 , c1 AS (SELECT page_id, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') AS h FROM review_pages),
 c2 AS (SELECT page_id, regexp_replace(h, '(?is)<script\b[^>]*>.*?</script>', '', 'g') AS h FROM c1),
@@ -120,25 +127,28 @@ j AS (
 SELECT doc_id, coalesce(nullif(rivals_section, ''), linked, scored) AS rivals, scored FROM j""",
     "parse_rivals": views("rivals") + f"""
 , f AS (
-  SELECT car_id, regexp_extract_all(rivals_text, '{RATED}', 1) AS n,
-    regexp_extract_all(rivals_text, '{RATED}', 2) AS r
+  SELECT car_id, rivals_text, regexp_extract_all(rivals_text, '{RATED}', 1) AS n,
+    regexp_extract_all(rivals_text, '{RATED}', 2) AS r, regexp_extract_all(rivals_text, '{RATED}', 0) AS m
   FROM rivals),
 t AS (
-  SELECT car_id, unnest(range(1, len(n) + 1)) AS i, unnest(n) AS name, unnest(r) AS rating FROM f),
+  SELECT car_id, rivals_text, unnest(range(1, len(n) + 1)) AS i, unnest(n) AS name, unnest(r) AS rating,
+    unnest(m) AS match FROM f),
 u AS (
-  SELECT *, row_number() OVER (PARTITION BY car_id, lower(trim(name)) ORDER BY i) AS again FROM t),
+  SELECT *, row_number() OVER (PARTITION BY car_id, lower(trim(name)) ORDER BY i) AS again,
+    {tail_context('rivals_text', 'match')} AS context
+  FROM t),
 k AS (
   SELECT *, row_number() OVER (PARTITION BY car_id ORDER BY i) - 1 AS p FROM u WHERE again = 1)
-SELECT car_id, cast(p AS int) AS place, trim(name) AS name, rating || '/5' AS rating
+SELECT car_id, cast(p AS int) AS place, trim(name) AS name, rating || '/5' AS rating, context
 FROM k WHERE p < 5""",
     "rival_columns": views("rivals") + f"""
 , f AS (
-  SELECT car_id, regexp_extract_all(rivals_text, '{RATED}', 1) AS n,
-    regexp_extract_all(rivals_text, '{RATED}', 2) AS r
+  SELECT car_id, rivals_text, regexp_extract_all(rivals_text, '{RATED}', 1) AS n,
+    regexp_extract_all(rivals_text, '{RATED}', 2) AS r, regexp_extract_all(rivals_text, '{RATED}', 0) AS m
   FROM rivals)
-SELECT car_id, coalesce(trim(n[1]), '') AS rival_1_name, coalesce(r[1] || '/5', '') AS rival_1_rating,
-  coalesce(trim(n[2]), '') AS rival_2_name, coalesce(r[2] || '/5', '') AS rival_2_rating,
-  coalesce(trim(n[3]), '') AS rival_3_name, coalesce(r[3] || '/5', '') AS rival_3_rating
+SELECT car_id, {', '.join(f"""coalesce(trim(n[{i}]), '') AS rival_{i}_name, coalesce(r[{i}] || '/5', '') AS rival_{i}_rating,
+  CASE WHEN n[{i}] IS NULL THEN '' ELSE coalesce(nullif({tail_context('rivals_text', f'm[{i}]')}, ''),
+    'similar size and price') END AS rival_{i}_context""" for i in (1, 2, 3))}
 FROM f""",
     "text_specs": views("prose") + r"""
 , a AS (SELECT doc_id, lower(article_text) AS t FROM prose)

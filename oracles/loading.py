@@ -4,7 +4,8 @@ from oracles.common import number, views, whole
 
 STAGED = views("cars", "rival_lists") + r"""
 , st AS (
-  SELECT car_id, make, model, year_end, doors, power_bhp,
+  SELECT car_id, make, model, year_end, CASE WHEN car_id % 17 = 5 THEN '99999999999' ELSE doors END AS doors,
+    power_bhp,
     CASE WHEN car_id % 6 = 0 THEN NULL WHEN car_id % 6 = 1 THEN '' ELSE '[' || seats || ',0.5]' END
       AS vm,
     CASE WHEN car_id % 10 = 3 THEN '[]' ELSE '[' || seats || ',0.5]' END AS vs,
@@ -19,7 +20,7 @@ def digits(x: str) -> str:
 
 def loose(x: str) -> str:
     """Typed, then shown as text."""
-    return f"CASE WHEN {digits(x)} THEN cast(cast({x} AS int) AS varchar) END"
+    return f"CASE WHEN {digits(x)} THEN cast(try_cast({x} AS int) AS varchar) END"
 
 
 LOADED = f"""SELECT car_id, {loose('year_end')} AS year_end, {loose('doors')} AS doors,
@@ -27,7 +28,7 @@ LOADED = f"""SELECT car_id, {loose('year_end')} AS year_end, {loose('doors')} AS
 
 
 def neat(x: str) -> str:
-    return f"(coalesce({x}, '') = '' OR {digits(x)})"
+    return f"(coalesce({x}, '') = '' OR ({digits(x)} AND try_cast({x} AS int) IS NOT NULL))"
 
 
 HEADERS = [
@@ -64,7 +65,7 @@ def when_ok(x: str, cond: str = "ok") -> str:
 SQL = {
     "scan_text_table": """
 SELECT cast(p_partkey AS varchar) AS p_partkey, p_name, p_brand, p_type,
-  cast(p_size AS varchar) AS p_size
+  cast(p_size AS varchar) AS p_size, cast(p_retailprice AS varchar) AS p_retailprice
 FROM part""",
     "normalize_headers": views("cars") + f"""
 SELECT car_id, {', '.join(f'{a} AS {b}' for a, b in HEADERS)} FROM cars""",
@@ -100,8 +101,9 @@ SELECT car_id, CASE WHEN bad = 0 THEN {loose('doors')} END AS doors,
   CASE WHEN bad = 0 THEN {loose('power_bhp')} END AS power_bhp,
   CASE WHEN bad = 0 THEN CASE WHEN rivals_json IS NULL THEN NULL WHEN rivals_json = '[]' THEN '0'
     ELSE '2' END END AS rivals,
+  CASE WHEN bad = 0 AND car_id % 5 = 3 THEN 'cheap' WHEN bad = 0 AND car_id % 5 = 4 THEN '' END AS context,
   CASE WHEN bad = 0 THEN CASE WHEN vs = '[]' THEN '0' ELSE '2' END END AS specs_size,
-  bad AS reasons
+  bad AS reasons, CASE WHEN bad > 0 THEN doors END AS raw_doors
 FROM r""",
     "flatten_documents": DOCS + f"""
 SELECT page_id, {when_ok("d ->> 'title'")} AS title,

@@ -255,12 +255,13 @@ FROM items""",
 , found AS (
   SELECT car_id, regexp_extract_all(rivals_text, '([A-Za-z0-9][A-Za-z0-9\-&'' ]+)\s*:\s*([\d.]+)/5', 1)
       AS names,
-    regexp_extract_all(rivals_text, '([A-Za-z0-9][A-Za-z0-9\-&'' ]+)\s*:\s*([\d.]+)/5', 2) AS marks
+    regexp_extract_all(rivals_text, '([A-Za-z0-9][A-Za-z0-9\-&'' ]+)\s*:\s*([\d.]+)/5', 2) AS marks,
+    regexp_extract(rivals_text, 'costs [0-9]+ less') AS cost
   FROM rivals),
 told AS (
   SELECT c.*, coalesce(engine_type, 'varies') AS summary, f.names, f.marks,
-    -- the first entry is followed by a web address, the second by 'mini cooper s: 3.0/5'
-    CASE WHEN len(names) = 3 THEN ['', '3.0/5', ''] ELSE [] END AS contexts,
+    -- the first entry is followed by a web address, the second by what the car costs, the third by nothing
+    CASE WHEN len(names) = 3 THEN ['', cost, ''] ELSE [] END AS contexts,
     CASE WHEN lower(coalesce(body_type, '')) IN ('suv', 'estate')
         THEN 'family trips and everyday versatility'
       WHEN body_type = 'Saloon' THEN 'comfortable commuting and long-distance cruising'

@@ -1,5 +1,7 @@
 """Sources, sinks, enrichment and incremental runs."""
 
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -43,14 +45,57 @@ def test_cache_lines_last_wins(spark, tmp_path):
     assert [(r["fid"], r["data"]["k"]) for r in got] == [("a", 2)]
 
 
-def test_full_refresh_keeps_rejects_apart(spark):
-    rows = [("1", "[1,2]", "[]"), ("x", "[1,2]", "[]"), ("", "", ""), ("2", "[1,z]", "{bad")]
-    df = spark.createDataFrame(rows, "n string, v_text string, j string")
-    loaded, rejected = loading.full_refresh(df, ["v_text"], ["n"], "j", "array<int>")
-    assert sorted((r["n"], r["v"]) for r in loaded.collect() if r["n"]) == [(1, [1.0, 2.0])]
-    assert loaded.count() == 2
-    reasons = {r["n"]: r["reasons"] for r in rejected.collect()}
-    assert reasons == {"x": ["n: not a number"], "2": ["j: not JSON", "v_text: not a vector"]}
+def refresh_rows(spark):
+    rows = [
+        (1, "1", "[1,2]", '[{"name": "a", "extra": {"k": [1, 2]}}]'), (2, "x", "[1,2]", "[]"), (3, "", "", ""),
+        (4, "2", "[1,z]", "{bad"), (5, "99999999999", "[]", None)]
+    return spark.createDataFrame(rows, "i int, n string, v_text string, j string")
+
+
+def test_full_refresh_keeps_rejects_apart(spark, tmp_path):
+    path, df = str(tmp_path), refresh_rows(spark)
+    assert loading.write_full_refresh(loading.full_refresh(df, ["v_text"], ["n"], "j"), path) == 1
+    loaded, rejected = loading.read_full_refresh(spark, path)
+    good = {r["i"]: r for r in loaded.withColumn("j", F.to_json("j")).collect()}
+    assert set(good) == {1, 3} and (good[1]["n"], good[1]["v"]) == (1, [1.0, 2.0])
+    assert json.loads(good[1]["j"]) == [{"name": "a", "extra": {"k": [1, 2]}}]  # unknown keys survive
+    bad = {r["i"]: r for r in rejected.collect()}
+    assert {i: r["reasons"] for i, r in bad.items()} == {
+        2: ["n: not a number"], 4: ["j: not JSON", "v_text: not a vector"], 5: ["n: not a number"]}
+    assert (bad[4]["n"], bad[4]["v_text"], bad[4]["j"], bad[5]["n"]) == ("2", "[1,z]", "{bad", "99999999999")
+
+
+def test_full_refresh_computes_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = refresh_rows(spark)
+    counted = df.mapInArrow(count, df.schema)
+    loading.write_full_refresh(loading.full_refresh(counted, ["v_text"], ["n"], "j"), str(tmp_path))
+    assert seen.value == 5
+
+
+def test_failed_refresh_leaves_the_old_version(spark, tmp_path):
+    path, df = str(tmp_path), refresh_rows(spark)
+    loading.write_full_refresh(loading.full_refresh(df.where("i = 1"), ["v_text"], ["n"], "j"), path)
+    broken = loading.full_refresh(df.withColumn("i", F.raise_error(F.lit("lost")).cast("int")), ["v_text"], ["n"], "j")
+    with pytest.raises(Exception, match="lost"):
+        loading.write_full_refresh(broken, path)
+    assert loading.versions(spark, path) == [1]
+    assert [r["i"] for r in loading.read_full_refresh(spark, path)[0].collect()] == [1]
+    for i in (2, 3, 4):
+        assert loading.write_full_refresh(loading.full_refresh(df.where(F.col("i") == i), ["v_text"], ["n"], "j"), path) == i
+    assert loading.versions(spark, path) == [3, 4]
+    assert [r["i"] for r in loading.read_full_refresh(spark, path)[1].collect()] == [4]
+
+
+def test_strict_load_rejects_numbers_out_of_range(spark):
+    df = refresh_rows(spark).withColumn("v_text", F.lit("[1]"))
+    assert [r["i"] for r in loading.load_strict(df, ["v_text"], ["n"]).orderBy("i").collect()] == [1, 3, 4]
 
 
 def test_documents_without_success_keep_only_json(spark):
@@ -148,6 +193,23 @@ def test_resume_is_idempotent_and_skips_seen_keys(spark, tmp_path):
     assert spark.read.parquet(out).count() == 15
 
 
+def test_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    """Other buckets hold no readable file; a batch whose keys are elsewhere never opens them."""
+    out = str(tmp_path / "out")
+    rows = spark.range(200).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    incremental.append_batch(rows, 0, out, "k", buckets=16)
+    mine = rows.where(incremental.bucket(F.col("k"), 16) == 3)
+    for folder in (tmp_path / "out-keys" / "batch_id=0").glob("bucket=*"):
+        if folder.name != "bucket=3":
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"no parquet")
+    fresh = spark.range(1000, 1400).select(F.col("id").alias("k"), F.lit("y").alias("v")).where(
+        incremental.bucket(F.col("k"), 16) == 3)
+    incremental.append_batch(mine.unionByName(fresh), 1, out, "k", buckets=16)
+    got = spark.read.parquet(f"{out}/batch_id=1")
+    assert got.count() == fresh.count() > 0 and {r["v"] for r in got.collect()} == {"y"}
+
+
 def test_resume_transforms_only_new_rows(spark, tmp_path):
     log, out = tmp_path / "seen", str(tmp_path / "out")
     rows = spark.createDataFrame([(k, f"t{k}") for k in range(6)], "k bigint, t string")
