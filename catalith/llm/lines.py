@@ -7,12 +7,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.functions.text import let
 from catalith.llm.common import documents, free_name
 from catalith.session import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_ID = 2**63 - 1
-MAX_SHARDS = 65_536
 INDEX = "shard int, bits binary, sizes array<bigint>, prints binary, docs binary, counts binary, salts int"
 
 
@@ -76,38 +76,59 @@ def _build_shard(mean: float):
     def shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         hashes, marks = _unsigned(table.column("hash")), _unsigned(table.column("mark"))
         bits, sizes, slots = build(hashes, marks)
-        prints, docs, counts = np.zeros(len(slots), "<u8"), np.zeros(len(slots), "<i8"), np.zeros(len(slots), "<u4")
+        prints, docs, counts = np.zeros(len(slots), "<u8"), np.zeros(len(slots), "<i8"), np.zeros(len(slots), "u1")
         prints[slots] = marks
         docs[slots] = table.column("first_doc").to_numpy()
         found = table.column("n").to_numpy()
-        counts[slots] = np.minimum(found, 2**32 - 1)
+        counts[slots] = table.column("docs").to_numpy()
         return pa.table({
             "shard": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(bits).tobytes()],
             "sizes": pa.array([sizes], pa.list_(pa.int64())), "prints": [prints.tobytes()],
             "docs": [docs.tobytes()], "counts": [counts.tobytes()],
-            # copies of the shard: until its hottest line is no more than an average shard
-            "salts": pa.array([int(min(1 + found.max() // mean, 4096))], pa.int32()),
+            # copies of the shard: until its hottest line is no more than an average shard; together they
+            # hold no more rows than that line has
+            "salts": pa.array([int(1 + found.max() // mean)], pa.int32()),
         })
 
     return shard
 
 
+PROBED = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("place", pa.int32())])
+
+
 def _probe_shard(lines: pa.Table, index: pa.Table) -> pa.Table:
-    """The (doc, hash) pairs whose line is held by an earlier document."""
-    schema = pa.schema([("doc", pa.int64()), ("hash", pa.int64())])
+    """The lines, by document and place, that several documents hold and an earlier one than this."""
     if not lines.num_rows or not index.num_rows:
-        return schema.empty_table()
+        return PROBED.empty_table()
     shard = index.slice(0, 1).to_pylist()[0]
     sizes = shard["sizes"]
     bits = np.unpackbits(np.frombuffer(shard["bits"], np.uint8), count=sum(sizes)).astype(bool)
     hashes, marks = _unsigned(lines.column("hash")), _unsigned(lines.column("mark"))
-    doc = lines.column("doc").to_numpy()
     slots = probe(bits, sizes, hashes, marks)
     known = slots >= 0
     known &= np.frombuffer(shard["prints"], "<u8")[slots] == marks
-    known &= np.frombuffer(shard["counts"], "<u4")[slots] >= 2
-    known &= np.frombuffer(shard["docs"], "<i8")[slots] != doc
-    return pa.table([pa.array(doc[known]), pa.array(hashes[known].view(np.int64))], schema=schema)
+    known &= np.frombuffer(shard["counts"], "u1")[slots] >= 2
+    known &= np.frombuffer(shard["docs"], "<i8")[slots] != lines.column("doc").to_numpy()
+    return lines.select(["doc", "row", "place"]).filter(pa.array(known)).cast(PROBED)
+
+
+def without(lines: Column, places: Column) -> Column:
+    """The lines at other than the given places (distinct, from 0), in order.
+
+    Places and lines are sorted together, a place in front of the line it names; so the work grows with n log n
+    of the lines, however many places there are.
+    """
+    def kept(both: Column) -> Column:
+        def stays(x: Column, i: Column) -> Column:
+            before = F.get(both, i - 1)
+            return x["named"] & ~F.coalesce((before["place"] == x["place"]) & ~before["named"], F.lit(False))
+
+        return F.transform(F.filter(both, stays), lambda x: x["line"])
+
+    marks = F.transform(places, lambda p: F.struct(
+        p.cast("int").alias("place"), F.lit(False).alias("named"), F.lit(None).cast("string").alias("line")))
+    all_lines = F.transform(lines, lambda line, i: F.struct(i.alias("place"), F.lit(True).alias("named"), line.alias("line")))
+    return let(F.sort_array(F.concat(marks, all_lines)), kept)
 
 
 def dedup_lines(
@@ -121,48 +142,52 @@ def dedup_lines(
     The result has the input's columns, ``text_col`` being what is left, and n_lines and n_dropped
     (with underscores in front if the input has such columns).
 
-    Distinct hashes of repeated lines are indexed per shard by a minimal perfect hash into arrays of
-    fingerprints, first documents and counts.  A line outside the set may lead to any slot, so a
-    fingerprint is a second hash of 64 bits: of 10^12 lines one is mistaken with a chance of 1 in 10^7.  Documents send
-    (id, hash) pairs, never lines, to the shard; pairs of a hot shard are dealt over copies of it.
-    Only the numbers of pairs and of keys reach the driver.
-
-    Rows that share an id count as one document; a missing id counts as the largest.  Missing and
-    empty texts are one empty line and become the empty text.  An empty table stays empty.
+    All distinct line hashes are indexed per shard by a minimal perfect hash into arrays of
+    fingerprints, first documents and counts (1, or 2 for more documents), and the arrays decide.  A line outside the
+    set may lead to any slot, so a fingerprint is a second hash of 64 bits: of 10^12 lines one is mistaken with a
+    chance of 1 in 10^7.  Documents send hashes and places of their lines, never lines, to the shard.  The number of
+    shards grows with the lines, so none holds more than about ``shard_rows`` keys; pairs of a shard with a hot line
+    are dealt over copies of it.  Only the number of lines reaches the driver.
+
+    The places to drop come back to the document and are taken out in one merge, so a text of a million repeated
+    lines takes seconds.  Rows that share an id count as one document; a missing id counts as the
+    largest.  Missing and empty texts are one empty line and become the empty text.  Very long texts are whole
+    texts like others.  An empty table stays empty.
     """
     n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
     doc = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
+    row = F.xxhash64(F.col(text_col), F.lit(11))  # rows that share an id have places of their own
     pairs = settle(
-        docs.select(doc.alias("doc"), F.explode(split_lines(F.col(text_col))).alias("line"))
-        .select("doc", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_points)
-        .select("doc", F.xxhash64("key").alias("hash"), F.xxhash64(F.lit(7), "key").alias("mark")), "line-hashes")
-    repeated = settle(
-        pairs.groupBy("hash", "mark").agg(
-            F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"), F.count("*").alias("n"))
-        .where("first_doc < last_doc").drop("last_doc"), "repeated-lines")
-    total = pairs.count()
-    shards = int(min(MAX_SHARDS, max(16, total // shard_rows)))
+        # the text is hashed before it is parted, not once for each line
+        docs.select(doc.alias("doc"), row.alias("row"), split_lines(F.col(text_col)).alias("lines"))
+        .select("doc", "row", F.posexplode("lines").alias("place", "line"))
+        .select("doc", "row", "place", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_points)
+        .select("doc", "row", "place", F.xxhash64("key").alias("hash"), F.xxhash64(F.lit(7), "key").alias("mark")),
+        "line-hashes")
+    shards = int(max(16, (total := pairs.count()) // shard_rows))
     shard = F.pmod(F.col("hash"), F.lit(shards)).cast("int")
     index = settle(
-        repeated.withColumn("shard", shard).groupBy("shard")
+        pairs.groupBy("hash", "mark").agg(
+            F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"), F.count("*").alias("n"))
+        .withColumn("docs", F.when(F.col("first_doc") < F.col("last_doc"), 2).otherwise(1))
+        .withColumn("shard", shard).groupBy("shard")
         .applyInArrow(_build_shard(max(1.0, total / shards)), INDEX), "line-index")
-    # At most MAX_SHARDS rows of two numbers: under 1 MB whatever the input.
+    hot = settle(index.where("salts > 1").select("shard", "salts"), "hot-shards")
     sent = (
-        pairs.withColumn("shard", shard).join(F.broadcast(index.select("shard", "salts")), "shard")
-        .withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")).drop("salts"))
+        pairs.withColumn("shard", shard).join(hot, "shard", "left")
+        .withColumn("salt", F.pmod(F.xxhash64("doc", "place"), F.coalesce("salts", F.lit(1)).cast("bigint")).cast("int"))
+        .drop("salts"))
     copies = index.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
     dropped = (
         sent.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt"))
-        .applyInArrow(_probe_shard, "doc bigint, hash bigint")
-        .groupBy("doc").agg(F.collect_set("hash").alias("gone")))
-
-    key, gone, lines, left = (free_name(docs, n) for n in ("doc_key", "gone", "lines", "left"))
-    kept = F.filter(F.col(lines), lambda line: ~(
-        (F.length(line_key(line)) >= min_points) & F.array_contains(F.col(gone), F.xxhash64(line_key(line)))))
-    joined = docs.withColumn(key, doc).join(
-        dropped.select(F.col("doc").alias(key), F.col("gone").alias(gone)), key, "left")
+        .applyInArrow(_probe_shard, "doc bigint, row bigint, place int")
+        .groupBy("doc", "row").agg(F.collect_set("place").alias("gone")))
+
+    key, row_key, gone, lines, left = (free_name(docs, n) for n in ("doc_key", "row_key", "gone", "lines", "left"))
+    joined = docs.withColumns({key: doc, row_key: row}).join(
+        dropped.select(F.col("doc").alias(key), F.col("row").alias(row_key), F.col("gone").alias(gone)), [key, row_key], "left")
     parted = joined.withColumn(lines, split_lines(F.col(text_col))).withColumn(
-        left, F.when(F.col(gone).isNull(), F.col(lines)).otherwise(kept))
+        left, F.when(F.col(gone).isNull(), F.col(lines)).otherwise(without(F.col(lines), F.col(gone))))
     columns = [
         F.array_join(left, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return parted.select(

@@ -1,5 +1,7 @@
 """Missing values, empty and very long texts, repeated rows, empty tables and clashing columns, for every operator."""
 
+import time
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +165,17 @@ def test_stages(spark, docs, none, tmp_path, name, stage):
         assert out.count() >= 0
         if name != "packing":
             assert out.columns == docs.columns
+
+
+def test_line_dedup_of_a_million_repeated_lines(spark):
+    """Two copies of one long log, and a text of repeated and own lines."""
+    log = "\n".join(f"line number {i} of a log" for i in range(1_000_000))
+    mixed = "\n".join(f"line number {i} of a log" if i % 2 else f"an own line, {i}" for i in range(50_000))
+    df = spark.createDataFrame([(1, log), (2, log), (3, mixed), (3, mixed + "\nx")], "doc_id bigint, text string").repartition(4)
+    start = time.time()
+    found = {(r["doc_id"], r["n_lines"]): r for r in lines.dedup_lines(df).collect()}
+    assert time.time() - start < 60  # it took hours when every line searched the whole set
+    assert found[1, 1_000_000]["text"] == log and found[2, 1_000_000]["text"] == ""
+    own = "\n".join(f"an own line, {i}" for i in range(0, 50_000, 2))
+    assert found[3, 50_000]["text"] == own and found[3, 50_001]["text"] == own + "\nx"
+    assert found[3, 50_001]["n_dropped"] == 25_000
