@@ -258,10 +258,9 @@ def car_age(year_start: Column, year_end: Column, year: int = values.MILEAGE_AGE
 
 # Prompt templates are data; pass your own to ``text.fill_template``.
 PROMPTS = {
-    # fixed value: the short fuel question
     "fuel": (
-        "Classify this car's fuel type as ONLY one of: petrol, diesel, mild hybrid, "
-        "plug in hybrid, electric. Car: {make} {model} {engine}"
+        "Name the fuel of {make} {model} with engine {engine}. Answer with one of these and nothing else: "
+        "petrol, diesel, mild hybrid, plug in hybrid, electric."
     ),
     "price": (
         "Give the UK used price range in GBP for {make} {model}, {years} "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,6 @@ from catalith.functions.rules import classify, contains_any, keep, lookup
 from catalith.functions.text import norm, nonempty, text
 
 
-
 def body_or_car(body: Column) -> Column:
     return F.coalesce(nonempty(body), F.lit("car"))
 
@@ -89,24 +90,24 @@ def variant_sentence(engine: Column, fuel: Column, gearbox: Column, drive: Colum
     )
 
 
-def variant_notes(engine: Column, fuel: Column, gearbox: Column, drive: Column) -> Column:
-    """All notes that hold, in order; the first two as one text."""
-    raw, e, f, t, d = text(engine), norm(engine), norm(fuel), norm(gearbox), norm(drive)
-    quick = raw.rlike(values.NOTE_PERFORMANCE)
-    mid = contains_any(e, values.NOTE_MID_SIZES) & contains_any(e, values.NOTE_MID_MARKS)
-    conditions = {
-        "diesel": f.contains("diesel") | e.rlike(values.NOTE_DIESEL_ENGINE),
-        "hybrid": f.contains("hybrid") & ~f.contains("plug"),
-        "plugin": contains_any(f, ("plug", "phev")),
-        "electric": contains_any(f, ("ev", "electric")),
-        "quick": quick | raw.rlike(values.NOTE_BIG),
-        "small": e.rlike(values.NOTE_SMALL) & ~quick,
-        "mid": mid & ~quick,
-        "automatic": contains_any(t, values.AUTOMATIC),
-        "manual": t.contains("manual"),
-        "all_wheel": contains_any(d, values.NOTE_ALL_WHEEL),
-    }
-    notes = keep(*[F.when(c, values.NOTE_TEXTS[k]) for k, c in conditions.items()])
+def variant_notes(
+    engine: Column, fuel: Column, gearbox: Column, drive: Column, rules=values.NOTE_RULES,
+) -> Column:
+    """All notes whose rule holds, in the rules' order; the first two as one text."""
+    fields = {
+        "badge": text(engine), "engine": norm(engine), "fuel": norm(fuel), "gearbox": norm(gearbox), "drive": norm(drive)}
+
+    def holds(test: tuple) -> Column:
+        field, wanted = test
+        if field.startswith("unmarked "):  # the field has none of the words
+            return ~contains_any(fields[field.removeprefix("unmarked ")], wanted)
+        return fields[field].rlike(wanted) if isinstance(wanted, str) else contains_any(fields[field], wanted)
+
+    def applies(some: tuple, none: tuple) -> Column:
+        found = reduce(Column.__or__, map(holds, some))
+        return reduce(lambda a, b: a & ~b, map(holds, none), found)
+
+    notes = keep(*[F.when(applies(some, none), values.NOTE_TEXTS[note]) for note, some, none in rules])
     joined = F.array_join(F.slice(notes, 1, 2), " ")
     return F.when(F.size(notes) == 0, values.NOTE_TEXTS["none"]).otherwise(joined)
 

@@ -45,6 +45,22 @@ def call_in_batches(
     return spread.mapInPandas(run, schema)
 
 
+def isolating(fn: Callable[[pd.DataFrame], pd.DataFrame], key: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The function on a batch; one that fails is halved until the row that fails it stands alone.
+
+    That row comes back with its key and its error in ``_error``, the others with their answers.
+    """
+    def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return fn(pdf).assign(_error=None)
+        except Exception as error:  # whatever the callback raises is the answer of this row
+            if len(pdf) > 1:
+                half = len(pdf) // 2
+                return pd.concat([call(pdf.iloc[:half]), call(pdf.iloc[half:])], ignore_index=True)
+            return pd.DataFrame({key: pdf[key].to_numpy(), "_error": [f"{type(error).__name__}: {error}"]})
+    return call
+
+
 def read_cache(df: DataFrame, path: str, schema: str) -> DataFrame:
     """The cache table, empty when it was never written."""
     spark = df.sparkSession
@@ -59,7 +75,7 @@ def read_cache(df: DataFrame, path: str, schema: str) -> DataFrame:
 def enrich_families(
     df: DataFrame, key: str, order: str, inputs: Sequence[str],
     fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, cache: str,
-    missing: Column | None = None, force: bool = False, waves: int = 1, **batching,
+    missing: Column | None = None, force: bool = False, waves: int = 1, dead_letters: str | None = None, **batching,
 ) -> DataFrame:
     """Call ``fn`` once per family not in the cache, keep the answers, join them back.
 
@@ -67,6 +83,9 @@ def enrich_families(
     again when an executor is lost, and a second run asks only for new families.
     ``force`` starts the cache anew.  With more ``waves`` the answers are saved
     in that many steps, so that a failed run loses one step at most.
+
+    With a ``dead_letters`` path a family that fails its call costs only itself: its batch is halved until it stands
+    alone, and it is written there with the error.  It is not in the cache, so the next run asks for it again.
     """
     columns = [f.strip().split(" ")[0] for f in schema.split(",")]
     todo = settle(
@@ -74,8 +93,16 @@ def enrich_families(
     )
     for wave in range(waves):
         part = todo if waves == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(waves)) == wave)
-        answers = call_in_batches(part, fn, schema, **batching)
-        answers.write.mode("overwrite" if force and wave == 0 else "append").parquet(cache)
+        mode = "overwrite" if force and wave == 0 else "append"
+        if dead_letters is None:
+            call_in_batches(part, fn, schema, **batching).write.mode(mode).parquet(cache)
+            continue
+        retried = {k: batching[k] for k in ("attempts", "wait_s") if k in batching}
+        patient = retrying(fn, retried.get("attempts", 3), retried.get("wait_s", 1.0))
+        answers = settle(call_in_batches(
+            part, isolating(patient, key), f"{schema}, _error string", **(batching | {"attempts": 1})), "answers")
+        answers.where("_error IS NULL").drop("_error").write.mode(mode).parquet(cache)
+        answers.where("_error IS NOT NULL").select(key, "_error").write.mode(mode).parquet(dead_letters)
     results = read_cache(df, cache, schema)
     # the cache is a written table already
     return apply_results(df, results, key, [c for c in columns if c != key], settled=False)

@@ -278,5 +278,24 @@ def row_window(df: DataFrame, row_idx: str, offset: int = 0, limit: int | None =
     return out if limit is None else out.where(F.col(row_idx) < offset + limit)
 
 
+def numbered(df: DataFrame, row_idx: str = "row_idx") -> DataFrame:
+    """Rows of a file table with their position from 0: files by path, rows as they stand.
+
+    Rows are counted per block of a file where they are read, and a block's first position is the sum of the counts
+    before it.  Only one row per block is summed up in order, and no row is moved, so the positions are the same for
+    every reading with the same block size and files.  ``df`` must come straight from files.
+    """
+    place = {"_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
+    # within a block, rows are read one after the other by one task, which numbers them in turn
+    rows = df.select("*", *[c.alias(n) for n, c in place.items()], F.monotonically_increasing_id().alias("_id"))
+    order = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    starts = settle(blocks.withColumn("_start", F.coalesce(F.sum("_n").over(order), F.lit(0))), "block-starts")
+    return (
+        rows.join(starts, ["_path", "_block"])
+        .withColumn(row_idx, F.col("_start") + F.col("_id") - F.col("_first"))
+        .drop("_path", "_block", "_id", "_n", "_first", "_start"))
+
+
 def append_union(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)

@@ -9,6 +9,7 @@ from catalith.operators import aggregate, lookup, quality, search
 from catalith.plans.normalise import NOW, num
 from catalith.plans.registry import query
 from catalith.plans.views import view
+from catalith.session import shared_folder
 
 C = F.col
 
@@ -218,6 +219,17 @@ def load_verify(spark, sf):
 
 # sets and slices -----------------------------------------------------------
 
+@query
+def row_window_by_position(spark, sf):
+    """Slices by position of a CSV table that has no index column."""
+    path = shared_folder(spark, "unindexed")
+    part = view(spark, sf, "part").select("p_partkey", "p_name")
+    part.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey").write.csv(path, header=True)
+    rows = search.numbered(spark.read.csv(path, header=True), "position")
+    first, second = (search.row_window(rows, "position", at, 60) for at in (20, 130))
+    return first.unionByName(second)
+
+
 @query
 def row_window(spark, sf):
     return search.row_window(view(spark, sf, "cars"), "car_id", 50, 100).select("car_id", "model")

@@ -258,6 +258,19 @@ NOTE_DIESEL_ENGINE = r"\btdi|dci|cdi|hdi|cdti\b"
 NOTE_MID_SIZES = ("1.5", "1.6", "1.8", "2.0")
 NOTE_MID_MARKS = ("t", "tsi", "tfs", "turbo", "na")
 NOTE_ALL_WHEEL = ("awd", "4matic", "xdrive", "quattro")
+# A note holds where one of its first tests does and none of its second: (field, words or pattern).
+NOTE_RULES = (
+    ("diesel", (("fuel", ("diesel",)), ("engine", NOTE_DIESEL_ENGINE)), ()),
+    ("hybrid", (("fuel", ("hybrid",)),), (("fuel", ("plug",)),)),
+    ("plugin", (("fuel", ("plug", "phev")),), ()),
+    ("electric", (("fuel", ("ev", "electric")),), ()),
+    ("quick", (("badge", NOTE_PERFORMANCE), ("badge", NOTE_BIG)), ()),
+    ("small", (("engine", NOTE_SMALL),), (("badge", NOTE_PERFORMANCE),)),
+    ("mid", (("engine", NOTE_MID_SIZES),), (("badge", NOTE_PERFORMANCE), ("unmarked engine", NOTE_MID_MARKS))),
+    ("automatic", (("gearbox", AUTOMATIC),), ()),
+    ("manual", (("gearbox", ("manual",)),), ()),
+    ("all_wheel", (("drive", NOTE_ALL_WHEEL),), ()),
+)
 NOTE_TEXTS = {
     "diesel": "great for long motorway journeys with relaxed cruising and strong economy",
     "hybrid": "suited to mixed driving with lower running costs in town",

@@ -160,6 +160,10 @@ WITH c AS (
 SELECT "column", dimension, count(*) AS cells, max(chars) AS max_chars, 0 AS over_limit,
   count(*) FILTER (norm < 0.97 OR norm > 1.03) AS off_norm, count(*) AS bracketed
 FROM c GROUP BY ALL""",
+    "row_window_by_position": """
+SELECT cast(p_partkey AS varchar) AS p_partkey, p_name, position FROM (
+  SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS position FROM part)
+WHERE position BETWEEN 20 AND 79 OR position BETWEEN 130 AND 189""",
     "status_summary": """
 SELECT count(*) AS total, count(*) FILTER (event_type IN ('purchase', 'signup')) AS success,
   count(*) FILTER (event_type = 'error') AS failed,

@@ -221,8 +221,8 @@ FROM cars""",
       'unknown') AS age
   FROM cars)
 SELECT car_id,
-  'Classify this car''s fuel type as ONLY one of: petrol, diesel, mild hybrid, plug in hybrid, '
-    || 'electric. Car: ' || make || ' ' || model || ' ' || engine AS fuel_prompt,
+  'Name the fuel of ' || make || ' ' || model || ' with engine ' || engine || '. Answer with one of these and '
+    || 'nothing else: petrol, diesel, mild hybrid, plug in hybrid, electric.' AS fuel_prompt,
   'Give the UK used price range in GBP for ' || make || ' ' || model || ', ' || years || ' ('
     || year_start || ' to ' || year_end || '), body ' || body || ', engine ' || engine || ', '
     || power || ' bhp, ' || gearbox || ', ' || doors || ' doors, ' || seats

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from catalith.operators import enrich
+from catalith.operators import enrich, search
 from catalith.sources import documents, loading, tables
 from catalith.streaming import incremental
 
@@ -237,3 +237,44 @@ def test_price_gaps_falls_back_to_both_own_prices(spark):
     got = {r.car_id: r for r in jobs.price_gaps(cars, "fid", "car_id", listings, "low", "high").collect()}
     assert (got[1].price_low_filled, got[1].price_high_filled) == (None, 9000.0)
     assert (got[2].price_low_filled, got[2].price_high_filled) == (100.0, 200.0)
+
+
+def test_a_failing_family_costs_one_row(spark, tmp_path):
+    """One bad family of 1,000: all others are answered, it is written with its error and asked for again."""
+    def answer(pdf):
+        if (pdf["k"] == 617).any() and not (tmp_path / "mended").exists():
+            raise ValueError("617 is bad")
+        return pd.DataFrame({"k": pdf["k"], "out": pdf["k"] * 2})
+
+    df = spark.range(3000).select((F.col("id") % 1000).alias("k"), "id")
+    dead, how = str(tmp_path / "dead"), dict(batch=100, attempts=2, wait_s=0.0, partitions=4)
+    args = (df, "k", "id", ["id"], answer, "k bigint, out bigint", str(tmp_path / "cache"))
+    first = enrich.enrich_families(*args, dead_letters=dead, **how)
+    assert {r["k"] for r in first.where("out IS NULL").collect()} == {617} and first.count() == 3000
+    assert [tuple(r) for r in spark.read.parquet(dead).collect()] == [(617, "ValueError: 617 is bad")]
+    asked = tmp_path / "asked"
+
+    def again(pdf):
+        with open(asked, "a") as log:
+            log.write("".join(f"{k}\n" for k in pdf["k"]))
+        return answer(pdf)
+
+    (tmp_path / "mended").touch()
+    second = enrich.enrich_families(*args[:4], again, *args[5:], dead_letters=dead, **how)
+    assert second.where("out IS NULL").count() == 0
+    assert asked.read_text().split() == ["617"]
+
+
+def test_positions_of_a_table_without_index(spark, tmp_path):
+    """Several files, read in small blocks and in whole files: the same positions, and no row is moved to one task."""
+    path = str(tmp_path / "csv")
+    spark.range(0, 30_000, 1, 3).select("id", F.md5(F.col("id").cast("string")).alias("v")).write.csv(path, header=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("200000", "134217728"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = search.numbered(spark.read.csv(path, header=True))
+            assert rows.where("id <> row_idx").count() == 0 and rows.count() == 30_000
+            assert "SinglePartition" not in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
