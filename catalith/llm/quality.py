@@ -165,11 +165,12 @@ def train(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["rank", "y", "x"])
 
-    # The sample has at most train_rows rows, so its broadcast has a fixed bound.
+    # The sample has at most train_rows rows, so its broadcast has a fixed bound.  Copies under one id are one row
+    # before anything is collected; each task already keeps one.
     rows = (
-        texts.join(F.broadcast(chosen), "id").select("rank", "y", "text")
-        .mapInArrow(vectors, "rank bigint, y double, x binary").collect())
-    rows = sorted((r.rank, r.y, bytes(r.x)) for r in rows)[:train_rows]  # repeated ids keep the bound
+        texts.join(F.broadcast(chosen), "id").groupBy("id", "rank", "y").agg(F.min("text").alias("text"))
+        .select("rank", "y", "text").mapInArrow(vectors, "rank bigint, y double, x binary").collect())
+    rows = sorted((r.rank, r.y, bytes(r.x)) for r in rows)
     rows.sort(key=lambda r: (r[0] & 3) == 0)  # the held-out quarter last
     x = np.zeros((len(rows), CHAR_BINS + WORD_BINS + 1), np.float32)
     x[:, -1] = 1

@@ -179,3 +179,14 @@ def test_line_dedup_of_a_million_repeated_lines(spark):
     own = "\n".join(f"an own line, {i}" for i in range(0, 50_000, 2))
     assert found[3, 50_000]["text"] == own and found[3, 50_001]["text"] == own + "\nx"
     assert found[3, 50_001]["n_dropped"] == 25_000
+
+
+def test_training_keeps_one_row_per_id(spark, monkeypatch):
+    """A labelled id with 10,000 rows brings one of them to the driver."""
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda x, y, n_fit: seen.update(rows=len(x)))
+    docs = spark.range(10_200).select(
+        F.when(F.col("id") < 10_000, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")).distinct()
+    quality.train(docs, labels, train_rows=150)
+    assert seen["rows"] == 150
