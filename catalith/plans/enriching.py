@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from catalith.functions import extract
+from catalith.functions import extract, text
 from catalith.operators import enrich
 from catalith.plans import jobs
 from catalith.plans.combining import with_family, with_price_key
@@ -141,3 +141,58 @@ def embed_and_search(spark, sf):
         view(spark, sf, "cars"), "car_id", specs_inputs(), vowel_counts, 6, query_id=1, k=20
     )
     return near.select("car_id", F.round("score", 6).alias("score"))
+
+
+def price_answer(car_id: int) -> str:
+    """Stand-in for a remote answer: some cannot be read, some have the bounds the wrong way round."""
+    if car_id % 7 == 0:
+        return "no idea"
+    low = 50 + car_id * 37 % 20000
+    first, second = (low + 900, low) if car_id % 5 == 0 else (low, low + 900)
+    return f'Sure: {{"min_used_price_gbp": {first}, "max_used_price_gbp": {second}, "confidence": "high"}}'
+
+
+@query
+def answered_prices(spark, sf):
+    """Families that lack a price at either end, asked through a cache in two waves; nothing is asked twice."""
+    cars = with_price_key(view(spark, sf, "cars")).withColumn(
+        "price_high", F.when(C("car_id") % 3 != 0, F.concat(C("seats"), F.lit(",900"))))
+
+    def answer(batch: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"fid": batch["fid"], "answer": batch["car_id"].map(price_answer)})
+
+    base = shared_folder(spark, "price-answers")
+    out = jobs.answered_prices(
+        cars, "fid", "car_id", ["car_id"], answer, f"{base}/cache", "price_low", "price_high", waves=2,
+        dead_letters=f"{base}/dead")
+    return out.select("car_id", "price_low_filled", "price_high_filled", "confidence", "notes")
+
+
+@query
+def answered_specs(spark, sf):
+    """Families with a gap in three specs, asked once; answers out of range fill nothing."""
+    def answer(batch: pd.DataFrame) -> pd.DataFrame:
+        n = batch["car_id"]
+        return pd.DataFrame({
+            "family": batch["family"], "_mpg": (n % 260 - 10.0).where(n % 5 != 0),
+            "_insurance": (n % 60.0).where(n % 7 != 0), "_sprint": (n % 35 - 0.5).where(n % 3 != 0)})
+
+    cars = with_family(view(spark, sf, "cars"))
+    own = {"mpg": "mpg_low", "insurance": "insurance_group", "sprint": "zero_to_sixty"}
+    out = jobs.answered_specs(
+        cars, "family", "car_id", ["car_id"], answer, shared_folder(spark, "spec-answers"), own)
+    return out.select("car_id", *[f"{n}_filled" for n in own])
+
+
+@query
+def staging_csv(spark, sf):
+    """Catalogue rows and their vectors as one quoted table for a load."""
+    vectors = view(spark, sf, "embeddings").select(
+        C("vec_id").alias("car_id"),
+        F.concat(F.lit("["), F.array_join(F.transform(
+            "embedding", lambda x: x.cast("double").cast("decimal(9,6)").cast("string")), ","), F.lit("]")).alias("vector_main"))
+    rows = view(spark, sf, "cars").select("car_id", "make", "model", "series_years", "engine_type")
+    staged = jobs.staging_csv(rows, vectors, "car_id", ["vector_main"], shared_folder(spark, "staging"))
+    return staged.select(
+        C("car_id").cast("bigint"), text.text(C("make")).alias("make"), text.text(C("series_years")).alias("series_years"),
+        text.text(C("engine_type")).alias("engine_type"), F.length(text.text(C("vector_main_text"))).alias("vector_chars"))

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.functions import compose, html, text, vehicle
+from catalith.functions import compose, extract, html, text, vehicle
 from catalith.operators import aggregate, enrich, lookup, quality, search
 from catalith.session import settle
+from catalith.sources import tables
 
 C = F.col
 
@@ -87,3 +90,50 @@ def embed_and_search(
     query = search.query_vector(embedded, C(id_col) == query_id, "vector")
     others = embedded.where(C(id_col) != query_id)
     return search.topk(others, search.similarity(C("vector"), query), [id_col], k, id_col)
+
+
+def answered_prices(
+    cars: DataFrame, key: str, order: str, inputs: Sequence[str], fn: Callable[[pd.DataFrame], pd.DataFrame],
+    cache: str, own_low: str, own_high: str, **how,
+) -> DataFrame:
+    """Families that lack a price at either end are asked once, their answers checked and brought to all rows.
+
+    ``fn`` gives each family's answer as text; it is kept in the cache as it came, so a better parser needs no second
+    call.  A row without a usable answer keeps its own prices.  ``how`` goes to ``enrich.enrich_families``.
+    """
+    lacking = text.nonempty(C(own_low)).isNull() | text.nonempty(C(own_high)).isNull()
+    asked = enrich.enrich_families(
+        cars, key, order, inputs, fn, f"{key} string, answer string", cache, missing=lacking, **how)
+    parsed = asked.withColumn("_parsed", extract.answer_json(C("answer")))
+    checked = enrich.sanitize_prices(C("_parsed"), C(own_low), C(own_high))
+    return parsed.withColumns({f"{n}_filled" if n.startswith("price") else n: c for n, c in checked.items()}).drop("_parsed")
+
+
+def answered_specs(
+    cars: DataFrame, key: str, order: str, inputs: Sequence[str], fn: Callable[[pd.DataFrame], pd.DataFrame],
+    cache: str, own: dict[str, str], **how,
+) -> DataFrame:
+    """Families with a gap in economy, insurance or sprint are asked once; answers in range fill the gaps.
+
+    ``own`` names the rows' columns of ``mpg``, ``insurance`` and ``sprint``.
+    """
+    gaps = [enrich.needs_fill(C(c)) for c in own.values()]
+    asked = enrich.enrich_families(
+        cars, key, order, inputs, fn, f"{key} string, {', '.join(f'_{n} double' for n in own)}", cache,
+        missing=reduce(Column.__or__, gaps), **how)
+    checked = enrich.sanitize_specs(*[C(f"_{n}") for n in ("mpg", "insurance", "sprint")])
+    filled = {
+        f"{n}_filled": enrich.fill_missing(C(c), checked[n], positive_only=n == "mpg") for n, c in own.items()}
+    return asked.withColumns(filled).drop(*[f"_{n}" for n in own])
+
+
+def staging_csv(rows: DataFrame, vectors: DataFrame, key: str, columns: Sequence[str], path: str) -> DataFrame:
+    """Rows with their vector texts as one quoted CSV table for a database load, read back as text.
+
+    Keys that would multiply rows are an error, as the load takes one row per key.
+    """
+    if not lookup.duplicate_keys(vectors, key).isEmpty():
+        raise ValueError(f"the vectors hold a {key} more than once")
+    tables.write_quoted_csv(lookup.attach_vectors(rows, vectors, key, columns), path)
+    names = [*rows.columns, *[f"{c}_text" for c in columns]]
+    return tables.scan_text_csv(rows.sparkSession, path, names, multiline=True)

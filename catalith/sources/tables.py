@@ -120,10 +120,11 @@ def write_vectors(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "
 
 
 def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with every field quoted, header line, LF, UTF-8."""
+    """CSV with every field quoted and kept as it is, blanks at its ends included; header line, LF, UTF-8."""
     (
         as_text(df).na.fill("").write.mode(mode)
         .option("quoteAll", True).option("escape", '"').option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("lineSep", "\n").option("encoding", "UTF-8").option("emptyValue", "")
         .csv(path)
     )

@@ -123,4 +123,40 @@ s AS (
     (SELECT v FROM u WHERE car_id = 1)::double[]), 9) AS score
   FROM u WHERE car_id <> 1)
 SELECT car_id, round(score, 6) AS score FROM s ORDER BY s.score DESC, car_id LIMIT 20""",
+    "answered_prices": views("cars") + f"""
+, k AS (
+  SELECT *, {PRICE_KEY} AS fid, CASE WHEN car_id % 3 <> 0 THEN seats || ',900' END AS price_high FROM cars),
+w AS (
+  SELECT fid, min(car_id) AS n FROM k GROUP BY fid
+  HAVING bool_or(trim(coalesce(price_low, '')) = '' OR price_high IS NULL)),
+a AS (
+  SELECT fid, greatest(50 + n * 37 % 20000, 100)::DOUBLE AS lo, (950 + n * 37 % 20000)::DOUBLE AS hi
+  FROM w WHERE n % 7 <> 0)
+SELECT car_id, coalesce(lo, {number("replace(price_low, ',', '')")}) AS price_low_filled,
+  coalesce(hi, {number("replace(price_high, ',', '')")}) AS price_high_filled,
+  CASE WHEN lo IS NULL THEN 'low' ELSE 'high' END AS confidence,
+  CASE WHEN lo IS NULL THEN 'no-parse' ELSE '' END AS notes
+FROM k LEFT JOIN a ON k.fid = a.fid""",
+    "answered_specs": views("cars") + f"""
+, k AS (SELECT *, {FAMILY} AS family FROM cars),
+w AS (
+  SELECT family, min(car_id) AS n FROM k GROUP BY family
+  HAVING bool_or({missing('mpg_low')} OR {missing('insurance_group')} OR {missing('zero_to_sixty')})),
+a AS (
+  SELECT family, CASE WHEN n % 5 <> 0 AND n % 260 - 10 BETWEEN 1 AND 200 THEN (n % 260 - 10)::DOUBLE END AS mpg,
+    CASE WHEN n % 7 <> 0 AND n % 60 BETWEEN 1 AND 50 THEN (n % 60)::DOUBLE END AS ins,
+    CASE WHEN n % 3 <> 0 AND n % 35 - 0.5 > 0 AND n % 35 - 0.5 <= 30 THEN (n % 35 - 0.5)::DOUBLE END AS sprint
+  FROM w)
+SELECT car_id,
+  CASE WHEN {missing('mpg_low')} AND mpg IS NOT NULL THEN mpg ELSE {number('mpg_low')} END AS mpg_filled,
+  CASE WHEN {missing('insurance_group')} AND ins IS NOT NULL THEN ins ELSE {number('insurance_group')} END
+    AS insurance_filled,
+  CASE WHEN {missing('zero_to_sixty')} AND sprint IS NOT NULL THEN sprint ELSE {number('zero_to_sixty')} END
+    AS sprint_filled
+FROM k LEFT JOIN a USING (family)""",
+    "staging_csv": views("cars") + """
+SELECT car_id, make, coalesce(series_years, '') AS series_years, coalesce(engine_type, '') AS engine_type,
+  coalesce(len(array_to_string(list_transform(embedding, lambda x: x::DOUBLE::DECIMAL(9,6)), ',')) + 2, 0)
+    AS vector_chars
+FROM cars LEFT JOIN embeddings ON vec_id = car_id""",
 }
