@@ -16,17 +16,19 @@ from pyspark.sql import functions as F
 from catalith.llm.common import digest, documents
 from catalith.llm.neardup import _mixed, components, shingles
 from catalith.llm.quality import MIX
-from catalith.session import settle
+from catalith.session import release, settle
 
 # Similarity 4/5: sizes a <= b link only if 4 b <= 5 a, and then differ in at most (a + b) / 9 elements.
 PROBE = 3  # tenths of the feature domain whose elements are counted over the corpus
 FEW = 8  # members up to which a mixed bucket's pairs are listed
+HUBS = 8  # members of a large bucket's largest class that its other members are compared with first
 
 SKETCH = pa.schema([
     ("id", pa.int64()), ("copy", pa.binary()), ("same", pa.binary()), ("n", pa.int64()), ("probe", pa.list_(pa.int64()))])
 SKETCH_DDL = "id bigint, copy binary, same binary, n bigint, probe array<bigint>"
-SIGNED = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("elements", pa.binary()), ("signs", pa.list_(pa.int64()))])
-SIGNED_DDL = "node bigint, n bigint, elements binary, signs array<bigint>"
+SIGNED = pa.schema([
+    ("node", pa.int64()), ("n", pa.int64()), ("odd", pa.binary()), ("elements", pa.binary()), ("signs", pa.list_(pa.int64()))])
+SIGNED_DDL = "node bigint, n bigint, odd binary, elements binary, signs array<bigint>"
 
 
 class Scheme(NamedTuple):
@@ -92,6 +94,27 @@ def signatures(sets: list[np.ndarray], high: int, number: int, least: int = 2) -
     return [v[f] for v, f in zip(values, full)]
 
 
+def odd_bits(elements: np.ndarray) -> bytes:
+    """One bit for each of at least two places per element: whether an odd number of elements falls there.
+
+    Each element in which two sets differ changes one bit, so sets never differ in fewer elements than bits.
+    Halves laid over each other give the bits for half as many places.
+    """
+    places = 1 << max(6, (2 * len(elements) - 1).bit_length())
+    at = (_mixed(elements + MIX) % np.uint64(places)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=places).astype(np.uint8) & 1).tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two sets differ, on as many places as the smaller one has."""
+    x, y = (np.frombuffer(v, np.uint8) for v in (a, b))
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x, y = y, x
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sketcher(width: int):
     limit = np.uint64(2**64 // 10 * PROBE)
 
@@ -125,6 +148,7 @@ def _signer(width: int):
                         signs[i].append(found)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([odd_bits(s) for s in sets], pa.binary()),
                     pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
                     pa.array([np.concatenate(s).view(np.int64) for s in signs], pa.list_(pa.int64())),
                 ], schema=SIGNED)
@@ -145,17 +169,33 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose bits differ in no more places than a linked pair's elements may."""
+    for batch in batches:
+        columns = (batch.column(i).to_pylist() for i in (2, 3, 4))
+        keep = pa.array([9 * differing_bits(x, y) <= n for n, x, y in zip(*columns)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+
 def _fits(a: str, b: str) -> Column:
     return 4 * F.greatest(a, b) <= 5 * F.least(a, b)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that reach the similarity, by their whole sets."""
-    of = lambda name: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("elements").alias(f"set_{name}"))
+    """Those of the pairs (a, b) that reach the similarity: first by sizes and bits, then by their whole sets."""
+    def of(name: str, column: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(f"set_{name}"))
+
     once = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return settle(
-        once.join(of("a"), "a").join(of("b"), "b").where(_fits("n_a", "n_b")).select("a", "b", "set_a", "set_b")
+    near = settle(
+        once.join(of("a", "odd"), "a").join(of("b", "odd"), "b").where(_fits("n_a", "n_b"))
+        .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "set_a", "set_b")
+        .mapInArrow(_near, "a bigint, b bigint"), "near-pairs")
+    links = settle(
+        near.join(of("a", "elements"), "a").join(of("b", "elements"), "b").select("a", "b", "set_a", "set_b")
         .mapInArrow(_verify, "a bigint, b bigint"), "jaccard-links")
+    release(near)
+    return links
 
 
 def _candidates(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -193,30 +233,66 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int64()))], names=["node", "root", "elements"])
 
 
+def _shared(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, root, n, element, sets) of the elements that several sets hold, and the nodes with enough of them.
+
+    A partner holds at least 4/5 of a set's elements, so a set of which fewer stand in any other set has none.
+    """
+    often = settle(flat.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1"), "shared-elements")
+    held = settle(flat.join(often, "element"), "held-elements")
+    release(often)
+    enough = settle(
+        held.groupBy("node", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= F.ceil(F.col("n") * 4 / 5))
+        .select("node", "shared"), "held-counts")
+    return held, enough
+
+
 def _rest(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """All pairs of open nodes of different classes that can link, for buckets too large to list.
 
-    Over the open nodes alone the elements are counted in full.  What a set may lack in its partner are the
-    first n - ceil(4 n / 5) elements at most, so of two similar sets, ordered by how many sets hold an element, some
-    element is within the first n - ceil(4 n / 5) + 1 of both.  Elements of one set fill these places first, so sets
-    with too many of them meet nobody.
+    Over the open nodes alone the elements are counted in full, and once more over the nodes that have enough
+    shared ones.  What a set may lack in its partner are n - ceil(4 n / 5) elements at most, so of two similar sets,
+    ordered by how many sets hold an element, some element is within the first n - ceil(4 n / 5) + 1 of
+    both.  Elements of one set fill these places first, so texts that share passages hardly meet.  In an
+    element's list the members outside its largest class meet the others, where enough of both sets is left.
     """
     lists = open_nodes.join(sets, "node").select("node", "root", "elements").mapInArrow(
         _unpack, "node bigint, root bigint, elements array<bigint>")
     flat = settle(lists.select("node", "root", F.size("elements").alias("n"), F.explode("elements").alias("element")), "open-elements")
-    often = settle(flat.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1"), "shared-elements")
-    held = settle(flat.join(often, "element"), "held-elements")
+    held, enough = _shared(flat)
+    again, enough = _shared(held.drop("sets").join(enough.select("node"), "node"))
+    release(flat, held)
     place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "element"))
-    shared = settle(held.groupBy("node").agg(F.count("*").alias("shared")), "held-counts")
     lead = settle(
-        held.withColumn("place", place).join(shared, "node")
-        .where(F.col("place") + F.col("n") - F.col("shared") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)
-        .select("element", "node", "root", "n"), "leading-elements")
-    other = lead.select("element", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n")])
-    return lead.join(other, "element").where((F.col("root") < F.col("root_b")) & _fits("n", "n_b")).select(
+        again.withColumn("place", place).join(enough, "node").withColumn("at", F.col("place") + F.col("n") - F.col("shared"))
+        .where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)
+        .select("element", "node", "root", "n", "at"), "leading-elements")
+    release(again)
+    largest = settle(
+        lead.groupBy("element", "root").count().groupBy("element")
+        .agg(F.count("*").alias("classes"), F.max(F.struct("count", "root"))["root"].alias("largest"))
+        .where("classes > 1").select("element", "largest"), "mixed-elements")
+    mixed = settle(lead.join(largest, "element"), "mixed-lists")
+    other = mixed.select("element", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "at")])
+    # at their first common element, two linked sets still have 4/9 of both sizes in common from there on
+    enough_left = 9 * (F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b")) + 1) >= 4 * (F.col("n") + F.col("n_b"))
+    return mixed.where("root <> largest").join(other, "element").where(
+        (F.col("root") != F.col("root_b")) & _fits("n", "n_b") & enough_left).select(
         F.col("node").alias("a"), F.col("node_b").alias("b"))
 
 
+def _outsiders(mixed: DataFrame, hubs: int) -> DataFrame:
+    """Pairs of each member outside its bucket's largest class with ``hubs`` members of that class, chosen by hash."""
+    largest = settle(
+        mixed.groupBy("sign", "root").count().groupBy("sign").agg(F.max(F.struct("count", "root"))["root"].alias("largest")),
+        "largest-classes")
+    known = settle(mixed.join(largest, "sign"), "bucket-sides")
+    chosen = known.where("root = largest").groupBy("sign").agg(*[
+        F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"].alias(f"hub{k}") for k in range(hubs)])
+    chosen = settle(chosen.select("sign", F.explode(F.array_distinct(F.array(*[f"hub{k}" for k in range(hubs)]))).alias("b")), "hubs")
+    return known.where("root <> largest").join(chosen, "sign").select(F.col("node").alias("a"), "b")
+
+
 def jaccard_classes(
     docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -229,8 +305,9 @@ def jaccard_classes(
 
     Of each bucket, every member is first compared with the bucket's smallest node, of its several buckets the one it
     shares most signatures with; that joins true groups without listing their pairs.  Buckets whose members
-    are then still in several classes are opened: up to eight members all pairs across classes; beyond that the members
-    go through one more exact join (``_rest``).  Every candidate is checked on its whole set.  So no bucket is
+    are then still in several classes are opened: up to eight members all pairs across classes; beyond that those outside
+    the largest class are compared with eight of it, and what even then is in several classes goes through one more
+    exact join (``_rest``).  Every candidate is checked on its whole set.  So no bucket is
     capped and every link between classes is found.
 
     Shingles are compared by 64-bit hashes.  Missing texts and texts without words have no shingles and link with nothing.
@@ -241,17 +318,16 @@ def jaccard_classes(
     lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), lower.alias("text")).select(
         "id", digest(F.col("text")).alias("copy"), "text")
-    sketches = settle(rows.mapInArrow(_sketcher(width), SKETCH_DDL), "shingle-sketches")
+    probed = settle(rows.mapInArrow(_sketcher(width), SKETCH_DDL), "shingle-sketches")
+    sketches = settle(probed.drop("probe"), "distinct-keys")
     # a missing id never stands for a set that also has a row with one
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copy"))
     nodes = settle(
         sketches.where("n > 0").groupBy("same", "n").agg(first.alias("first"))
         .select(F.monotonically_increasing_id().alias("node"), "same", "n", "first.id", "first.copy"), "distinct-sets")
-    known = nodes.where("id IS NOT NULL")
-    chosen = _candidates(sketches.where("id IS NOT NULL"), known)
-    if not nodes.where("id IS NULL").isEmpty():  # their elements are not counted, so none of them may be dropped
-        chosen = _candidates(_named(sketches), _named(nodes))
-    picked = _named(chosen).select("node", F.col("id").alias("id"), "copy")
+    chosen = _candidates(_named(probed), _named(nodes))
+    release(probed)
+    picked = chosen.select("node", "id", "copy")
     sets = settle(
         _named(rows).join(picked, ["id", "copy"]).dropDuplicates(["node"]).select("node", "text")
         .mapInArrow(_signer(width), SIGNED_DDL), "signed-sets")
@@ -271,12 +347,12 @@ def jaccard_classes(
     left = few.select("sign", F.col("node").alias("a"), F.col("root").alias("root_a"))
     right = few.select("sign", F.col("node").alias("b"), F.col("root").alias("root_b"))
     listed = left.join(right, "sign").where("root_a < root_b").select("a", "b")
-    hubs = mixed.where(F.col("size") > FEW).join(shared, "sign").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    links = links.unionByName(_linked(listed.unionByName(hubs), sets))
+    large = mixed.where(F.col("size") > FEW).drop("size")
+    links = links.unionByName(_linked(listed.unionByName(_outsiders(large, HUBS)), sets))
     roots = components(links)
-    large = mixed.where(F.col("size") > FEW).select("sign", "node")
-    if not large.isEmpty():
-        open_nodes = settle(_mixed_members(large, roots).select("node", "root").distinct(), "open-nodes")
+    left = _mixed_members(large.select("sign", "node"), roots)
+    if not left.isEmpty():
+        open_nodes = settle(left.select("node", "root").distinct(), "open-nodes")
         more = _linked(_rest(open_nodes, sets), sets)
         roots = components(links.unionByName(more))
 
