@@ -143,23 +143,38 @@ def _positions(demand: str) -> Column:
     return F.expr(f"CASE WHEN copies > 0 THEN transform(sequence(0, copies - 1), i -> {fold}) ELSE array() END")
 
 
+def in_order(assigned: DataFrame) -> DataFrame:
+    """One row per copy of the assigned documents, in training order: ``at`` in place of positions.
+
+    Rows are dealt to tasks by ranges of position and sorted inside each.
+    """
+    others = [c for c in assigned.columns if c != "positions"]
+    copies = assigned.select(*others, F.explode("positions").alias("at"))
+    return copies.repartitionByRange("at").sortWithinPartitions("at")
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents in training order: one row per copy, with the columns of ``docs`` and position.
 
-    Rows are dealt to tasks by ranges of position and sorted inside each.  See ``assign``.
+    See ``assign`` and ``in_order``.
     """
     at = free_name(docs, "position")
-    assigned = assign(docs, docs.columns, **options)
-    copies = assigned.select("row", F.explode("positions").alias("at"))
-    return copies.repartitionByRange("at").sortWithinPartitions("at").select("row.*", F.col("at").alias(at))
+    mixed = in_order(assign(docs, docs.columns, **options).select("row", "positions"))
+    return mixed.select("row.*", F.col("at").alias(at))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words the mix takes from every document, with sources weighted 1, 2, 3 in turn."""
-    assigned = assign(documents(spark, sf_dir, "doc_id", "text", "source"), ["doc_id"])
-    return assigned.select(
-        "row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
-        F.element_at(F.when(F.size("positions") > 0, F.col("positions")), 1).alias("first_position"))
+    """Words the mix takes from every document, with sources weighted 1, 2, 3 in turn.
+
+    The mix is written in training order, and what it takes is counted there; documents it leaves out follow
+    from the assignment.  Rows are told apart by place, as ids may repeat.
+    """
+    docs = documents(spark, sf_dir, "doc_id", "text", "source").withColumn("place", F.monotonically_increasing_id())
+    assigned = settle(assign(docs, ["doc_id", "place"]), "mix-assigned")
+    mixed = settle(in_order(assigned.select("row.place", "size", "positions")), "mix-in-order")
+    taken = mixed.groupBy("place").agg(F.sum("size").alias("taken"), F.min("at").alias("first_position"))
+    return assigned.select("row.*", "size", "source_size", "target").join(taken, "place", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"), "first_position")
 
 
 SQL = r"""

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from catalith.llm import alignment, jaccard, whitening
+from catalith.llm import alignment, jaccard, mixing, whitening
 from tests.llm.test_edges import ROWS, SCHEMA
 
 CLASHES = ["node", "root", "sign", "id", "copy", "same", "n", "x", "component", "chunk", "pair", "place", "total", "home"]
@@ -121,6 +121,24 @@ def test_jaccard_rows_without_id_link_others(spark):
     assert {r["component_id"] for r in found} == {3}
 
 
+# ---- mixing
+
+def test_mixing_counts_what_the_mix_takes(spark, monkeypatch, tmp_path):
+    """The query's words come from the mix in training order: without its second half, about half of them stay."""
+    rows = [(i % 390, "w " * (1 + i % 7), ["a", "b", "c", None][i % 4]) for i in range(800)]
+    rows += [(None, "one two", "a"), (None, "one two", "a"), (900, None, "b"), (901, "", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = mixing.op5_mixing(spark, str(tmp_path)).collect()
+    assert len(whole) == len(rows) and sum(r.doc_id is None for r in whole) == 2
+    assert abs(sum(r.taken for r in whole) - sum(r["size"] for r in whole)) < 20
+    assert all((r.taken > 0) <= (r.first_position is not None) and r.taken <= 3 * r["size"] for r in whole)
+    positions = mixing._positions
+    monkeypatch.setattr(mixing, "_positions", lambda demand: F.filter(positions(demand), lambda at: at < 0.5))
+    half = mixing.op5_mixing(spark, str(tmp_path)).collect()
+    assert len(half) == len(rows)
+    assert abs(2 * sum(r.taken for r in half) - sum(r.taken for r in whole)) < 0.05 * sum(r.taken for r in whole)
+
+
 # ---- whitening
 
 @pytest.mark.parametrize("spectrum", [
