@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,10 +23,13 @@ from catalith.session import release, settle
 PROBE = 3  # tenths of the feature domain whose elements are counted over the corpus
 FEW = 8  # members up to which a mixed bucket's pairs are listed
 HUBS = 8  # members of a large bucket's largest class that its other members are compared with first
+SIEVE_BITS = 26  # a sieve has at most 2 ** 26 places, 8 MB
 
 SKETCH = pa.schema([
     ("id", pa.int64()), ("copy", pa.binary()), ("same", pa.binary()), ("n", pa.int64()), ("probe", pa.list_(pa.int64()))])
 SKETCH_DDL = "id bigint, copy binary, same binary, n bigint, probe array<bigint>"
+WHOLE = pa.schema([("node", pa.int64()), ("elements", pa.list_(pa.int64()))])
+WHOLE_DDL = "node bigint, elements array<bigint>"
 SIGNED = pa.schema([
     ("node", pa.int64()), ("n", pa.int64()), ("odd", pa.binary()), ("elements", pa.binary()), ("signs", pa.list_(pa.int64()))])
 SIGNED_DDL = "node bigint, n bigint, odd binary, elements binary, signs array<bigint>"
@@ -132,28 +136,36 @@ def _sketcher(width: int):
     return sketch
 
 
-def _signer(width: int):
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lister(width: int):
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
-                sets = [np.unique(shingles(t, width)) for t in part.column(1).to_pylist()]
-                signs: list[list[np.ndarray]] = [[] for _ in sets]
-                bands: dict[tuple[int, int], list[int]] = {}
-                for i, s in enumerate(sets):
-                    number, high = band(len(s))
-                    bands.setdefault((number, high), []).append(i)
-                    bands.setdefault((number + 1, 5 * (high + 1) // 4), []).append(i)  # with larger partners
-                for (number, high), rows in bands.items():
-                    for i, found in zip(rows, signatures([sets[i] for i in rows], high, number)):
-                        signs[i].append(found)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([odd_bits(s) for s in sets], pa.binary()),
-                    pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
-                    pa.array([np.concatenate(s).view(np.int64) for s in signs], pa.list_(pa.int64())),
-                ], schema=SIGNED)
+            for part in (batch.slice(at, 2000) for at in range(0, batch.num_rows, 2000)):
+                sets = [np.unique(shingles(t, width)).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=WHOLE)
 
-    return sign
+    return lists
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+            ends = np.cumsum(pc.list_value_length(part.column(1)).to_numpy(zero_copy_only=False))
+            sets = np.split(part.column(1).flatten().to_numpy().view(np.uint64), ends[:-1])
+            signs: list[list[np.ndarray]] = [[] for _ in sets]
+            bands: dict[tuple[int, int], list[int]] = {}
+            for i, s in enumerate(sets):
+                number, high = band(len(s))
+                bands.setdefault((number, high), []).append(i)
+                bands.setdefault((number + 1, 5 * (high + 1) // 4), []).append(i)  # with larger partners
+            for (number, high), rows in bands.items():
+                for i, found in zip(rows, signatures([sets[i] for i in rows], high, number)):
+                    signs[i].append(found)
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([odd_bits(s) for s in sets], pa.binary()),
+                pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+                pa.array([np.concatenate(s).view(np.int64) for s in signs], pa.list_(pa.int64())),
+            ], schema=SIGNED)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,21 +210,47 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return links
 
 
-def _candidates(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The nodes of which so few elements are in no other set that they can have a partner.
+def _may_pair(members: DataFrame, nodes: DataFrame, purpose: str) -> DataFrame:
+    """The nodes of which so few of the elements in ``members`` are in no other set that they can have a partner.
 
-    A set of n elements has at most n - ceil(4 n / 5) that its partner lacks.  Counting the elements of a fixed part
-    of the domain over all sets shows some of those that no other set holds; a set with more of them
-    has no partner at all.  That is exact, and takes texts that only share passages out of the join.
+    A set of n elements has at most n - ceil(4 n / 5) that its partner lacks, so a set with more elements
+    that no other set holds has no partner at all.  That is exact for any part of the elements,
+    and takes texts that only share passages out of the join.
     """
-    probes = sketches.join(nodes, ["same", "id", "copy"]).select("node", F.explode("probe").alias("element"))
     alone = (
-        probes.groupBy("element").agg(F.count("*").alias("sets"), F.min("node").alias("node")).where("sets = 1")
+        members.groupBy("element").agg(F.count("*").alias("sets"), F.min("node").alias("node")).where("sets = 1")
         .groupBy("node").agg(F.count("*").alias("alone")))
     allowed = F.col("n") - F.ceil(F.col("n") * 4 / 5)
     return settle(
-        nodes.join(alone, "node", "left").where(F.coalesce("alone", F.lit(0)) <= allowed).select("node", "id", "copy"),
-        "join-candidates")
+        nodes.join(alone, "node", "left").where(F.coalesce("alone", F.lit(0)) <= allowed).select("node", "n", "id", "copy"),
+        purpose)
+
+
+def _candidates(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes that can have a partner, by the elements in a fixed part of the domain, counted over all sets."""
+    probes = sketches.join(nodes.drop("n"), ["same", "id", "copy"]).select("node", F.explode("probe").alias("element"))
+    return _may_pair(probes, nodes, "join-candidates")
+
+
+def _sieve(rows: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The rows whose keys may be among those of ``wanted``: none of these is lost, and few others stay.
+
+    Every wanted key marks its place in a bitmap that all tasks get, so nothing is shuffled for rows that
+    are not wanted.  There are at least 16 places per key until the bitmap has its full 8 MB; with
+    more keys more rows stay, which costs the reader's own exact join time but no result.
+    """
+    places = 1 << min(SIEVE_BITS, max(15, (16 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64(*keys), F.lit(places))
+    marks = settle(
+        wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits")), "sieve")
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1 = 1")
+    return (
+        rows.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+        .join(F.broadcast(marks), "_bucket").withColumn("_byte", byte).withColumn("_bit", bit).where(marked)
+        .select(*rows.columns))
 
 
 def _mixed_members(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -300,7 +338,8 @@ def jaccard_classes(
 
     Two texts link if their sets of ``width``-word shingles (lower-cased; fewer words are one shingle) have a
     Jaccard similarity of at least 4/5.  Texts of one set are one node.  Nodes of which too many elements
-    occur nowhere else are dropped first (``_candidates``).  The others get the PartEnum signatures of their size
+    occur nowhere else are dropped first, by a part of the domain and then by all elements of what is left
+    (``_candidates``, ``_may_pair``).  The others get the PartEnum signatures of their size
     band and of the next one, so that every linked pair shares one (``scheme``, ``signatures``).
 
     Of each bucket, every member is first compared with the bucket's smallest node, of its several buckets the one it
@@ -328,9 +367,13 @@ def jaccard_classes(
     chosen = _candidates(_named(probed), _named(nodes))
     release(probed)
     picked = chosen.select("node", "id", "copy")
-    sets = settle(
-        _named(rows).join(picked, ["id", "copy"]).dropDuplicates(["node"]).select("node", "text")
-        .mapInArrow(_signer(width), SIGNED_DDL), "signed-sets")
+    # an id and a copy name one node, so that the repeated rows are dropped where the join has put them
+    whole = settle(
+        _sieve(_named(rows), ["id", "copy"], picked).join(picked, ["id", "copy"]).dropDuplicates(["id", "copy"])
+        .select("node", "text").mapInArrow(_lister(width), WHOLE_DDL), "whole-sets")
+    paired = _may_pair(whole.select("node", F.explode("elements").alias("element")), chosen, "paired-candidates")
+    sets = settle(_sieve(whole, ["node"], paired.select("node")).mapInArrow(_sign, SIGNED_DDL), "signed-sets")
+    release(whole)
 
     signs = sets.select("node", F.explode("signs").alias("sign"))
     shared = settle(

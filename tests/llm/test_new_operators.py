@@ -121,6 +121,33 @@ def test_jaccard_rows_without_id_link_others(spark):
     assert {r["component_id"] for r in found} == {3}
 
 
+def test_sieve_keeps_all_that_is_wanted(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "node")
+    wanted = rows.where("node % 100 = 7")
+    left = {r.node for r in jaccard._sieve(rows, ["node"], wanted).collect()}
+    assert {r.node for r in wanted.collect()} <= left and len(left) < 20_000 * 0.08
+    assert jaccard._sieve(rows, ["node"], wanted.where("false")).count() == 0
+
+
+def test_sets_without_partner_are_not_signed(spark, monkeypatch):
+    """Texts that share more than half of a passage: a part of the domain does not tell that none has a partner."""
+    signed, settle = [], jaccard.settle
+
+    def watched(df, purpose):
+        out = settle(df, purpose)
+        if purpose == "signed-sets":
+            signed.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "settle", watched)
+    passage = [f"p{i}" for i in range(60)]
+    texts = {i: " ".join(passage + [f"x{i}y{k}" for k in range(30)]) for i in range(1, 41)}
+    texts |= {50: "a " * 9 + "b c d e f g h i j k l m n o p q r s t u v w x y z", 51: "a " * 9 + "b c d e f g h i j k l m n o p q r s t u v w x y zz"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r["id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_classes(df).collect()}
+    assert found == classes(texts) and found[51][1] == 50 and signed[0] <= 6  # all 42 before
+
+
 # ---- mixing
 
 def test_mixing_counts_what_the_mix_takes(spark, monkeypatch, tmp_path):
