@@ -63,7 +63,7 @@ def prob_minhash(hashes: np.ndarray, weights: np.ndarray, doc: np.ndarray, n_doc
 def _sketcher(width: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(at, 1000) for at in range(0, batch.num_rows, 1000)):
+            for part in (batch.slice(at, 250) for at in range(0, batch.num_rows, 250)):
                 sets = [np.unique(shingles(t, width), return_counts=True) for t in part.column(2).to_pylist()]
                 sizes = np.array([len(s[0]) for s in sets])
                 hashes, counts = (np.concatenate(c) for c in zip(*sets))
@@ -101,12 +101,13 @@ def _verifier(width: int, threshold: float):
         last, last_set = None, None
         for batch in batches:
             close = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if x != last:  # pairs of one hub follow each other
-                    last, last_set = x, np.unique(shingles(x, width))
-                other = np.unique(shingles(y, width))
-                common = len(np.intersect1d(last_set, other, assume_unique=True))
-                close.append(common >= threshold * (len(last_set) + len(other) - common))
+            for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    if x != last:  # pairs of one hub follow each other
+                        last, last_set = x, np.unique(shingles(x, width))
+                    other = np.unique(shingles(y, width))
+                    common = len(np.intersect1d(last_set, other, assume_unique=True))
+                    close.append(common >= threshold * (len(last_set) + len(other) - common))
             keep = pa.array(close, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalith.llm.common import documents
@@ -19,18 +19,11 @@ PLACED = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
     "part int, window bigint, offset bigint, closed boolean"
 )
-PIECES = (
-    "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
-    "sequence_id bigint, offset bigint"
-)
-NAMES = [c.split()[0] for c in PIECES.split(", ")]
-ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
-    ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
-])
+NAMES = ["doc_id", "start", "length", "ids", "doc_tokens"]
 ARROW_PLACED = pa.schema([
-    *[ARROW.field(n) for n in NAMES[:5]], ("part", pa.int32()), ("window", pa.int64()),
-    ("offset", pa.int64()), ("closed", pa.bool_()),
+    ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
+    ("doc_tokens", pa.int64()), ("part", pa.int32()), ("window", pa.int64()), ("offset", pa.int64()),
+    ("closed", pa.bool_()),
 ])
 
 
@@ -88,9 +81,8 @@ def _placer(vocabulary: str, end_id: int, size: int, open_windows: int, remember
             return pa.RecordBatch.from_arrays(arrays, schema=ARROW_PLACED)
 
         for batch in batches:
-            texts, keys = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for first in range(0, len(texts), 500):
-                for key, ids in zip(keys[first: first + 500], encoder.encode(texts[first: first + 500])):
+            for block in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+                for key, ids in zip(block.column(0).to_pylist(), encoder.encode(block.column(1).to_pylist())):
                     ids += end
                     total = len(ids) // 4
                     for start in range(0, total, size):
@@ -104,25 +96,24 @@ def _placer(vocabulary: str, end_id: int, size: int, open_windows: int, remember
     return place
 
 
-def _merger(size: int):
-    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Lay the pieces of open windows end to end and cut at every window's end."""
-        table = table.sort_by([("part", "ascending"), ("window", "ascending"), ("offset", "ascending")])
-        group, filled, out = key[0].as_py(), 0, []
-        columns = [table.column(n).to_pylist() for n in NAMES[:5]]
-        for doc, start, length, ids, total in zip(*columns):
-            done = 0
-            while done < length:
-                room = size - filled % size
-                step = min(room, length - done)
-                sequence = ((2 * group + 1) << 32) + filled // size
-                out.append((doc, start + done, step, ids[4 * done: 4 * (done + step)], total,
-                            sequence, filled % size))
-                done, filled = done + step, filled + step
-        arrays = [pa.array(c, f.type) for c, f in zip(zip(*out), ARROW)]
-        return pa.Table.from_arrays(arrays, schema=ARROW)
+def _merged(left: DataFrame, size: int, merge_parts: int) -> DataFrame:
+    """The pieces of open windows laid end to end, per ``merge_parts`` partitions, and cut at every window's end.
 
-    return merge
+    Only lengths decide where a piece lies, so the ids stay in Spark's rows.
+    """
+    before = Window.partitionBy("group").orderBy("part", "window", "offset").rowsBetween(Window.unboundedPreceding, -1)
+    laid = (
+        left.withColumn("group", F.floor(F.col("part") / merge_parts).cast("bigint"))
+        .withColumn("filled", F.coalesce(F.sum("length").over(before), F.lit(0)))
+        .withColumn("k", F.explode(F.expr(f"sequence(filled div {size}, (filled + length - 1) div {size})")))
+        .withColumn("from", F.greatest(F.col("filled"), F.col("k") * size))
+        .withColumn("step", F.least(F.col("filled") + F.col("length"), (F.col("k") + 1) * size) - F.col("from"))
+        .withColumn("done", F.col("from") - F.col("filled")))
+    return laid.select(
+        "doc_id", (F.col("start") + F.col("done")).alias("start"), F.col("step").alias("length"),
+        F.expr("substring(ids, cast(4 * done + 1 as int), cast(4 * step as int))").alias("ids"), "doc_tokens",
+        (F.shiftleft(2 * F.col("group") + 1, 32) + F.col("k")).alias("sequence_id"),
+        (F.col("from") - F.col("k") * size).alias("offset"))
 
 
 def pack(
@@ -136,8 +127,9 @@ def pack(
     are cut at multiples of ``size``; each piece goes where it leaves the least room, and where none
     has room the fullest window is closed.  The windows that stay open in ``merge_parts`` partitions
     are laid end to end and cut at window ends, so that one window per such group is not full.
-    Memory: the open windows of one partition, or of ``merge_parts`` partitions, and the ids of
-    ``remember`` words; none grows with the input.  The placed pieces are written to the shared folder once, so texts are encoded once.
+    Memory of a Python worker: the open windows of one partition, the pieces of 500 texts and the ids of
+    ``remember`` words; none grows with the input.  Open windows are merged by Spark, in a window that sorts
+    those of ``merge_parts`` partitions.  The placed pieces are written to the shared folder once, so texts are encoded once.
 
     Gives doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
     A missing or empty text has the end id alone.  Repeated rows are documents of their own, a
@@ -147,12 +139,9 @@ def pack(
     placed = settle(
         slim.mapInArrow(_placer(vocabulary, end_id, size, open_windows, remember), PLACED), "packed-pieces")
     closed = placed.where("closed").select(
-        *NAMES[:5], (F.shiftleft(F.col("part").cast("bigint") * 2, 32) + F.col("window")).alias("sequence_id"),
+        *NAMES, (F.shiftleft(F.col("part").cast("bigint") * 2, 32) + F.col("window")).alias("sequence_id"),
         "offset")
-    merged = (
-        placed.where("not closed").withColumn("group", F.floor(F.col("part") / merge_parts).cast("bigint"))
-        .groupBy("group").applyInArrow(_merger(size), PIECES))
-    return closed.unionByName(merged)
+    return closed.unionByName(_merged(placed.where("not closed"), size, merge_parts))
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,32 @@ def test_packing_is_a_round_trip(spark, docs):
     assert filled >= 0.95 * 4096 * (len(sequences) - 1)
 
 
+def test_open_windows_are_laid_end_to_end(spark):
+    """Two groups of open windows against a plain walk; no group is a table in one Python worker."""
+    rng, rows = np.random.default_rng(4), []
+    for part in range(5):
+        for window in range(6):
+            at = 0
+            for length in rng.integers(1, 25, rng.integers(1, 5)).tolist():
+                ids = rng.integers(0, 50_000, length, dtype="<u4").tobytes()
+                rows.append((len(rows) if window else None, 10 * part, length, ids, 99, part, window, at, False))
+                at += length
+    want, filled = [], Counter()
+    for doc, start, length, ids, total, part, *_ in rows:
+        for i in range(length):  # one id at a time
+            at = filled[part // 3]
+            filled[part // 3] += 1
+            if i and at % 16:
+                want[-1][2], want[-1][3] = want[-1][2] + 1, want[-1][3] + ids[4 * i: 4 * i + 4]
+            else:
+                want.append([doc, start + i, 1, ids[4 * i: 4 * i + 4], total, ((2 * (part // 3) + 1) << 32) + at // 16, at % 16])
+    left = spark.createDataFrame(rows[::-1], packing.PLACED).repartition(3)
+    found = [[*r[:3], bytes(r.ids), *r[4:]] for r in packing._merged(left, 16, 3).collect()]
+    assert sorted(found, key=lambda r: r[5:]) == sorted(want, key=lambda r: r[5:])
+    plan = packing.pack(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
+    assert "InArrow" not in plan._jdf.queryExecution().optimizedPlan().toString()  # only settled rows, merged by Spark
+
+
 def test_open_windows_close_the_fullest():
     w = packing.OpenWindows(10, 2)
     for name, length in [("a", 6), ("b", 7), ("c", 4), ("d", 9)]:
@@ -304,6 +331,16 @@ def test_url_templates(spark):
     assert math.isclose(found[2].purity, (0 + 10 * host) / 210)
 
 
+def test_pieces_are_handed_on_in_small_blocks(monkeypatch):
+    """A batch of many texts is never whole in Python: what is placed leaves the worker every 500 texts."""
+    task = type("Task", (), {"get": staticmethod(lambda: type("At", (), {"partitionId": lambda self: 3})())})
+    monkeypatch.setattr(packing, "TaskContext", task)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(["some words " * 40] * 3000)], names=["doc_id", "text"])
+    out = list(packing._placer("word_bpe_49k.json", 2, 256, 8, 1000)(iter([batch])))
+    assert len(out) == 7 and max(b.num_rows for b in out) <= 500 + 8 * 4
+    assert sum(b.num_rows for b in out) == 3000 and {p for b in out for p in b.column(5).to_pylist()} == {3}
+
+
 def test_pipeline_stages(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     left, seen = table, []
