@@ -119,13 +119,18 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """The sorted distinct shingles of each text; bytes are lower-cased, which touches A to Z alone."""
+    return [np.unique(shingles(t.lower(), width)) for t in texts.cast(pa.binary()).to_pylist()]
+
+
 def _sketcher(width: int):
     limit = np.uint64(2**64 // 10 * PROBE)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, 2000) for at in range(0, batch.num_rows, 2000)):
-                sets = [np.unique(shingles(t, width)) for t in part.column(2).to_pylist()]
+                sets = _sets(part.column(2), width)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1).cast(pa.binary()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -140,7 +145,7 @@ def _lister(width: int):
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, 2000) for at in range(0, batch.num_rows, 2000)):
-                sets = [np.unique(shingles(t, width)).view(np.int64) for t in part.column(1).to_pylist()]
+                sets = [s.view(np.int64) for s in _sets(part.column(1), width)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=WHOLE)
 
     return lists
@@ -354,9 +359,10 @@ def jaccard_classes(
     that of either.  A row without an id links others and has the component they give it, which is missing if
     none has an id.  Repeated rows each get a row, other columns are not read, an empty table gives no rows.
     """
-    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), lower.alias("text")).select(
-        "id", digest(F.col("text")).alias("copy"), "text")
+    # texts are lower-cased where they are cut into words: Spark's translate took longer than all else in these passes
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("id"), digest(F.col(text_col)).alias("copy"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     probed = settle(rows.mapInArrow(_sketcher(width), SKETCH_DDL), "shingle-sketches")
     sketches = settle(probed.drop("probe"), "distinct-keys")
     # a missing id never stands for a set that also has a row with one

@@ -19,9 +19,9 @@ ARROW_SKETCH = pa.schema([
     ("id", pa.int64()), ("node", pa.binary()), ("registers", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def shingles(text: str, width: int) -> np.ndarray:
+def shingles(text: str | bytes, width: int) -> np.ndarray:
     """64-bit hashes of all windows of ``width`` words; of all words, if there are fewer; none without words."""
-    words = HASHES.of(text.encode().split())
+    words = HASHES.of((text.encode() if isinstance(text, str) else text).split())
     return rolled(words, min(width, len(words))) if len(words) else words
 
 

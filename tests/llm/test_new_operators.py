@@ -121,6 +121,26 @@ def test_jaccard_rows_without_id_link_others(spark):
     assert {r["component_id"] for r in found} == {3}
 
 
+def test_jaccard_lower_cases_ascii_only_and_not_in_spark(spark, monkeypatch):
+    """Texts meet whatever the case of A to Z, other letters keep theirs; no plan lower-cases row by row."""
+    plans, settle = [], jaccard.settle
+
+    def watched(df, purpose):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return settle(df, purpose)
+
+    monkeypatch.setattr(jaccard, "settle", watched)
+    rows = [
+        (5, "One TWO three Four five six"), (3, "one two THREE four five six"), (8, "ONE two three four\x0bfive\n six"),
+        (1, "one two three four five s\u0131x"), (9, "\u00c4pfel und Birnen"), (4, "\u00e4pfel und birnen"),
+        (2, "\u00c4PFEL UND BIRNEN"), (5, "ONE TWO THREE FOUR FIVE SIX"), (6, "\u212aelvin a b"), (7, "kelvin A B"),
+    ]
+    found = jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, found)) == [
+        (1, 2, 1), (2, 1, 2), (3, 2, 3), (4, 1, 4), (5, 2, 3), (5, 2, 3), (6, 1, 6), (7, 1, 7), (8, 2, 3), (9, 1, 2)]
+    assert plans and not any("translate(" in p for p in plans)
+
+
 def test_sieve_keeps_all_that_is_wanted(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "node")
     wanted = rows.where("node % 100 = 7")
