@@ -118,24 +118,48 @@ def _verifier(width: int, threshold: float):
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component, for all nodes that have an edge.
 
-    Stars are contracted in turn around larger and smaller neighbours until nothing changes; each
-    round is written to the shared folder.  Minima are combined before any shuffle, and a node with
-    very many neighbours only sends its own minimum to them.
+    In each round every node follows that node among itself and its neighbours whose hash is smallest, and the one
+    that it follows in turn; edges are drawn between those instead, and edges inside one node go.  The node with the
+    largest hash always goes.  A star takes two rounds; hashes change every four, so that no order of the nodes makes
+    chains go slowly.  Minima are combined before any shuffle, and a node with very many neighbours stands on the
+    side of the joins that can be split.
     """
-    e = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    state = None
-    while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        e = settle(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        near = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        near = near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        e = settle(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        seen = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first()
-        if tuple(seen) == state:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = tuple(seen)
+    e = settle(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), "links")
+    if e.isEmpty():
+        return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots, turn = None, 0
+    while roots is None or not e.isEmpty():
+        mark = lambda c: F.xxhash64(c, F.lit(turn // 4))  # noqa: B023, E731
+        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x"))
+        followed = settle(
+            both.select("x.u", "x.v").groupBy("u").agg(F.min(mark("v")).alias("mark"), F.min_by("v", mark("v")).alias("v"))
+            .select(F.col("u").alias("node"), F.when(F.col("mark") < mark("u"), F.col("v")).otherwise(F.col("u")).alias("root")),
+            "followed")
+        followed = settle(_renamed(followed, followed), "followed")
+        of = lambda name: followed.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))  # noqa: B023, E731
+        e = settle(e.join(of("u"), "u").join(of("v"), "v").select(
+            F.col("root_u").alias("u"), F.col("root_v").alias("v")).where("u <> v"), "links")
+        roots = followed if roots is None else _renamed(roots, followed)
+        turn += 1
+    roots = settle(roots, "followed") if turn > 1 else roots
+    # written, because a join with an aggregate in the same stage cannot be split where a component is large
+    least = settle(roots.groupBy("root").agg(F.min("node").alias("least")), "least-nodes")
+    return settle(roots.join(least, "root").select("node", F.col("least").alias("root")), "components")
+
+
+def _renamed(roots: DataFrame, further: DataFrame) -> DataFrame:
+    """(node, root) with the root that ``further`` gives each root, where it knows it."""
+    further = further.select(F.col("node").alias("root"), F.col("root").alias("further"))
+    return roots.join(further, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+
+
+def _with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (see there) when ``links`` (a, b) are added; only the classes that these touch are joined anew."""
+    of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    across = components(links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    alone = across.join(roots.select("node"), "node", "left_anti")
+    return settle(_renamed(roots, across).unionByName(alone), "components")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -256,22 +280,20 @@ def near_classes(
     pairs = few.join(few.withColumnRenamed("a", "b"), "cell").where("a < b").select("a", "b")
     large = members.where(F.col("n") > small)
     hubs = large.select(F.col("node").alias("a"), F.explode(F.array("hub0", "hub1", "hub2")).alias("b"))
-    links = _links(pairs.unionByName(hubs), nodes, texts, width, threshold)
-    roots = components(links)
+    roots = components(_links(pairs.unionByName(hubs), nodes, texts, width, threshold))
 
     # buckets that still hold several classes: first their outsiders with members of the largest class
     mixed = _mixed_buckets(large, roots)
     inner = mixed.where("root = largest").groupBy("cell").agg(*[hub(k).alias(f"hub{k}") for k in range(3, 7)])
     again = mixed.where("root <> largest").join(inner, "cell").select(
         F.col("node").alias("a"), F.explode(F.array("hub3", "hub4", "hub5", "hub6")).alias("b"))
-    links = links.unionByName(_links(again, nodes, texts, width, threshold))
-    roots = components(links)
+    roots = _with_links(roots, _links(again, nodes, texts, width, threshold))
     # then whatever is left, exactly
     open_nodes = settle(_mixed_buckets(large, roots).select("node", "root").distinct(), "open-nodes")
     rest = _overlap_pairs(open_nodes, nodes, texts, width, threshold)
     more = _links(rest, nodes, texts, width, threshold)
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        roots = _with_links(roots, more)
 
     classed = nodes.select("node", "id").join(roots, "node", "left").select(
         "node", "id", F.coalesce("root", "node").alias("root"))

@@ -181,6 +181,47 @@ def test_components(spark):
     assert {found[i] for i in range(1, 51)} == {0} and {found[k] for k in range(101, 140)} == {100} and found[201] == 200
 
 
+def test_components_take_few_stages(spark):
+    """Stars, a long chain and groups of three hubs; every stage costs the same wait, however little it holds."""
+    draw = random.Random(5)
+    groups = [(g * 30 + k, g * 30 + draw.randrange(30)) for g in range(40) for k in range(30) for _ in range(3)]
+    edges = groups + [(2000, k) for k in range(1900, 2100)] + [(k, k + 1) for k in range(3000, 3400)]
+    df = spark.createDataFrame([(f"{a:04}".encode(), f"{b:04}".encode()) for a, b in edges], "a binary, b binary")
+    parent = list(range(3401))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((top(a), top(b)))
+        parent[high] = low
+    spark.sparkContext.setJobGroup("components", "")
+    try:
+        found = [(int(bytes(r.node)), int(bytes(r.root))) for r in neardup.components(df).collect()]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(found) == len(dict(found)) and all(root == top(node) for node, root in found)
+    assert {n for n in range(3401) if top(n) != n} <= set(dict(found))
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+    infos = [tracker.getStageInfo(s) for s in stages]
+    assert sum(i is not None and i.numCompletedTasks > 0 for i in infos) < 90  # 113 before, now 69
+
+
+def test_components_with_more_links(spark):
+    def table(edges):
+        return spark.createDataFrame([(f"{a:04}".encode(), f"{b:04}".encode()) for a, b in edges], "a binary, b binary")
+
+    roots = neardup.components(table([(1, 2), (3, 2), (5, 6), (7, 8), (9, 9)]))
+    more = neardup._with_links(roots, table([(3, 6), (1, 3), (20, 21), (8, 22), (22, 0)]))
+    found = [tuple(int(bytes(x)) for x in r) for r in more.collect()]
+    assert sorted(found) == [(0, 0), (1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (7, 0), (8, 0), (20, 20), (21, 20), (22, 0)]
+    none = neardup._with_links(neardup.components(table([(4, 4)])), table([(5, 5)]))
+    assert none.collect() == []
+
+
 def test_mixing_targets(spark, docs):
     found = QUERIES["op5_mixing"](spark, SF).collect()
     sizes, taken, target, most = Counter(), Counter(), {}, Counter()
